@@ -28,12 +28,6 @@ def source_from_path(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, r"(?:^|/)fonte=([^/=]*)", 1), F.lit(""))
 
 
-def hash_unit(*parts: Column, part: int = 0) -> Column:
-    """Number in [0, 1) from eight hex digits of the MD5 of the joined parts."""
-    digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1 + 8 * part, 8)
-    return F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)
-
-
 def key_partition(key: Column, partitions: int) -> Column:
     """Topic partition of a key: the same key always lands in the same partition."""
     digits = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from vereda import presets
-from vereda.functions.conversion import hash_unit
 from vereda.operators.ordered import group_stats
 
 BLOCK_ROWS = 100_000
@@ -95,54 +94,48 @@ def grow_forest(samples: DataFrame, group, features, max_samples=presets.MAX_SAM
     ``no`` is 1 for the root and 2k, 2k + 1 below node k; a leaf has no ``variavel``.
     """
     depth = max(1, math.ceil(math.log2(max_samples)))
-    rows = samples.withColumns({
-        "_limite": F.ceil(F.log2(F.greatest("_psi", F.lit(2)).cast("double"))),
-        "_no": F.lit(1).cast("bigint"),
-        "_cortes": F.array().cast("array<struct<no:bigint,variavel:int,corte:double>>"),
-    })
+    tasks = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    carried = [group, "arvore", "_psi", "_limite", *features]
+    rows = samples.repartition(tasks, group, "arvore").select(
+        "*",
+        F.ceil(F.log2(F.greatest("_psi", F.lit(2)).cast("double"))).alias("_limite"),
+        F.lit(1).cast("bigint").alias("_no"),
+        F.array().cast("array<struct<no:bigint,variavel:int,corte:double>>").alias("_cortes"),
+    )
+    features = [f"`{name}`" for name in features]
     numbers = range(1, len(features) + 1)
+    node = f"(PARTITION BY `{group}`, arvore, _no)"
+    spread = [
+        f"{side}({name}) OVER {node} AS _{side}{i}"
+        for i, name in zip(numbers, features) for side in ("min", "max")
+    ]
+
+    def chosen(name):
+        cases = " ".join(f"WHEN {i} THEN {name(i)}" for i in numbers)
+        return f"CASE _variavel {cases} END"
+
+    # _ate<i>: how many of the features up to i vary in the node; a digest picks one of them.
+    varies = [f"int(_max{i} > _min{i})" for i in numbers]
+    counts = [f"{' + '.join(varies[:i])} AS _ate{i}" for i in numbers]
+    first = " ".join(f"WHEN _ate{i} = _vez + 1 THEN {i}" for i in numbers)
     for level in range(depth):
-        node = Window.partitionBy(group, "arvore", "_no")
-        spread = {"_linhas": F.count(F.lit(1)).over(node)}
-        for number, feature in zip(numbers, features):
-            spread[f"_min{number}"] = F.min(feature).over(node)
-            spread[f"_max{number}"] = F.max(feature).over(node)
-        rows = rows.withColumns(spread)
-        varying = F.array_compact(F.array(*[
-            F.when(F.col(f"_max{number}") > F.col(f"_min{number}"), F.lit(number))
-            for number in numbers
-        ]))
-        rows = rows.withColumn("_abertas", varying)
-        draw = [F.lit(str(seed)), F.col(group), F.col("arvore").cast("string"),
-                F.col("_no").cast("string")]
-        choice = F.floor(hash_unit(*draw, part=0) * F.size("_abertas")).cast("int")
-        rows = rows.withColumns({
-            "_variavel": F.when(
-                (F.col("_linhas") > 1) & (F.lit(level) < F.col("_limite")),
-                F.get("_abertas", choice),
-            ),
-            "_u": hash_unit(*draw, part=1),
-        })
-        at = F.col("_variavel") - 1
-        low = F.get(F.array(*[f"_min{number}" for number in numbers]), at)
-        high = F.get(F.array(*[f"_max{number}" for number in numbers]), at)
-        rows = rows.withColumns({"_low": low, "_high": high})
-        cut = F.col("_low") + F.col("_u") * (F.col("_high") - F.col("_low"))
-        rows = rows.withColumn(
-            "_corte", F.when((cut > F.col("_low")) & (cut <= F.col("_high")), cut)
-            .otherwise(F.col("_high")),
+        rows = rows.selectExpr("*", f"count(1) OVER {node} AS _linhas", *spread).selectExpr(
+            "*", *counts,
+            f"md5(concat_ws('|', '{seed}', `{group}`, string(arvore), string(_no))) AS _sorteio",
+            f"floor(double(conv(substr(_sorteio, 1, 8), 16, 10)) / 4294967296D * _ate{len(features)})"
+            " AS _vez",
+            f"CASE WHEN _linhas > 1 AND {level} < _limite THEN CASE {first} END END AS _variavel",
+            f"{chosen('_min{}'.format)} AS _de",
+            f"{chosen('_max{}'.format)} AS _a",
+            "_de + double(conv(substr(_sorteio, 9, 8), 16, 10)) / 4294967296D * (_a - _de) AS _entre",
+            "CASE WHEN _entre > _de AND _entre <= _a THEN _entre ELSE _a END AS _corte",
+        ).selectExpr(
+            *carried,
+            f"""CASE WHEN _variavel IS NULL THEN _no
+              ELSE _no * 2 + int({chosen(lambda i: features[i - 1])} >= _corte) END AS _no""",
+            """CASE WHEN _variavel IS NULL THEN _cortes ELSE concat(_cortes, array(
+              named_struct('no', _no, 'variavel', _variavel, 'corte', _corte))) END AS _cortes""",
         )
-        split = F.array(F.struct(
-            F.col("_no").alias("no"), F.col("_variavel").alias("variavel"),
-            F.col("_corte").alias("corte"),
-        ))
-        value = F.get(F.array(*features), at)
-        below = F.col("_no") * 2 + F.when(value >= F.col("_corte"), F.lit(1)).otherwise(F.lit(0))
-        is_open = F.col("_variavel").isNotNull()
-        rows = rows.withColumns({
-            "_cortes": F.when(is_open, F.concat("_cortes", split)).otherwise(F.col("_cortes")),
-            "_no": F.when(is_open, below).otherwise(F.col("_no")),
-        }).select(group, "arvore", "_psi", "_limite", "_no", "_cortes", *features)
 
     leaf = F.array(F.struct(
         F.col("_no").alias("no"), F.lit(None).cast("int").alias("variavel"),
