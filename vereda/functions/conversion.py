@@ -2,19 +2,21 @@
 
 from pyspark.sql import Column, functions as F
 
-_DIGITS = r"[0-9]+(_[0-9]+)*"
-_NUMBER = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
+_NUMBER = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 _INFINITY = r"^[+-]?(?i:inf|infinity)$"
 _NAN = r"^[+-]?(?i:nan)$"
+_BLANK = " \t\n\r\x0b\x0c"
 
 
 def decimal_comma_double(text: Column) -> Column:
     """Double from text that may use a decimal comma."""
-    clean = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), ",", ".")
-    number = F.regexp_replace(clean, "_", "").try_cast("double")
+    clean = F.translate(F.trim(text, F.lit(_BLANK)), ",", ".")
+    number = F.translate(clean, "_", "").try_cast("double")
     return (
-        F.when(clean.rlike(_NUMBER) | clean.rlike(_INFINITY), number)
+        F.when(clean.rlike(_NUMBER), number)
         .when(clean.rlike(_NAN), F.lit(float("nan")))
+        .when(clean.rlike(_INFINITY), number)
     )
 
 

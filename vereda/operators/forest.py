@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from vereda import presets
-from vereda.operators.ordered import group_stats
+from vereda.operators.ordered import group_stats, largest_group
 
 BLOCK_ROWS = 100_000
 
@@ -91,9 +91,9 @@ def grow_forest(samples: DataFrame, group, features, max_samples=presets.MAX_SAM
                 seed=presets.SEED) -> DataFrame:
     """Nodes of all trees: (group, arvore, no, variavel, corte, linhas, nivel, amostra).
 
-    ``no`` is 1 for the root and 2k, 2k + 1 below node k; a leaf has no ``variavel``.
+    ``max_samples`` is the size of the largest sample. ``no`` is 1 for the root and 2k, 2k + 1 below node k; a leaf has no ``variavel``.
     """
-    depth = max(1, math.ceil(math.log2(max_samples)))
+    depth = math.ceil(math.log2(max(max_samples, 2)))
     tasks = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     carried = [group, "arvore", "_psi", "_limite", *features]
     rows = samples.repartition(tasks, group, "arvore").select(
@@ -158,7 +158,8 @@ def fit_forest(points: DataFrame, group, key, features, trees=presets.TREES,
     """Forest nodes of every group of a stored points table."""
     numbered = points.withColumn(_ID, F.monotonically_increasing_id())
     samples = draw_samples(numbered, group, key, features, trees, max_samples, seed)
-    return grow_forest(samples, group, features, max_samples, seed)
+    largest = min(max_samples, largest_group(points, [group]))
+    return grow_forest(samples, group, features, largest, seed)
 
 
 def _score_block(features, score):

@@ -6,11 +6,20 @@ from pyspark.sql import DataFrame, Window, functions as F
 def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
     """The row with the greatest ``order`` columns for each key.
 
-    An aggregate, so every task keeps one row per key before the shuffle.
+    The first order column alone is aggregated first, which hashes; only the rows that reach
+    its maximum go through the wider aggregate, which has to sort. Both keep one row per key
+    and task before the shuffle.
     """
-    names = df.columns
-    newest = F.max_by(F.struct(*names), F.struct(*order)).alias("_row")
-    return df.groupBy(*[F.col(key).alias(f"_by_{key}") for key in keys]).agg(newest).select(
+    names, (first, *_) = df.columns, order
+    reach = df.groupBy(*[F.col(key).alias(f"_by_{key}") for key in keys]).agg(
+        F.max(first).alias("_reach")
+    )
+    newest = F.col(first).eqNullSafe(F.col("_reach"))
+    for key in keys:
+        newest = newest & F.col(key).eqNullSafe(F.col(f"_by_{key}"))
+    row = F.max_by(F.struct(*names), F.struct(*order)).alias("_row")
+    best = df.join(reach, newest, "left_semi")
+    return best.groupBy(*[F.col(key).alias(f"_by_{key}") for key in keys]).agg(row).select(
         *[F.col("_row")[name].alias(name) for name in names]
     )
 

@@ -70,8 +70,7 @@ def chunked_windows(placed: DataFrame, group, lags=None, running=None,
     columns = placed.columns
     halo = max([distance for _, distance in lags.values()], default=0)
     size = max(rows_per_task, halo + 1)
-    own = F.floor((F.col(row) - 1) / F.lit(size)).cast("bigint")
-    placed = placed.withColumn("_own", own)
+    placed = placed.withColumn("_own", F.expr(f"({row} - 1) div {size}"))
     if halo:
         last_rows = F.pmod(F.col(row) - 1, F.lit(size)) >= F.lit(size - halo)
         chunks = F.when(last_rows, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))

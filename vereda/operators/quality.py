@@ -47,17 +47,31 @@ TRENDS = [presets.RISING, presets.FALLING, presets.STEADY]
 def run_checks(models, checks=None) -> DataFrame:
     """Number of violations of every declared check, one row each.
 
-    ``models`` maps a model name to its DataFrame.
+    ``models`` maps a model name to its DataFrame. All null and value checks of a model are
+    counted in one pass; each uniqueness check groups by its column.
     """
-    def violations(model, column, check):
-        df = models[model]
-        if check == "accepted_values":
-            broken = accepted_values(df, column, TRENDS)
-        else:
-            broken = {"not_null": not_null, "unique": unique}[check](df, column)
-        return broken.agg(F.count(F.lit(1)).alias("violacoes")).select(
-            F.lit(model).alias("modelo"), F.lit(column).alias("coluna"),
-            F.lit(check).alias("regra"), "violacoes",
-        )
-
-    return reduce(DataFrame.unionAll, [violations(*check) for check in checks or CHECKS])
+    checks = checks or CHECKS
+    results = []
+    for model in dict.fromkeys(name for name, _, _ in checks):
+        df, counted = models[model], []
+        for _, column, check in [entry for entry in checks if entry[0] == model]:
+            if check == "unique":
+                broken = unique(df, column).agg(F.count(F.lit(1)).alias("violacoes"))
+                results.append(broken.select(
+                    F.lit(model).alias("modelo"), F.lit(column).alias("coluna"),
+                    F.lit(check).alias("regra"), "violacoes",
+                ))
+                continue
+            value = F.col(column)
+            violations = (
+                F.count_if(value.isNull()) if check == "not_null"
+                else F.count_distinct(F.when(~value.isin(TRENDS), value))
+            )
+            counted.append(F.struct(
+                F.lit(column).alias("coluna"), F.lit(check).alias("regra"),
+                violations.alias("violacoes"),
+            ))
+        if counted:
+            entries = df.agg(F.array(*counted).alias("_regras")).select(F.explode("_regras"))
+            results.append(entries.select(F.lit(model).alias("modelo"), "col.*"))
+    return reduce(DataFrame.unionByName, results)

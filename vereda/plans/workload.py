@@ -15,7 +15,7 @@ from vereda.functions import labels
 from vereda.functions.conversion import decimal_comma_double, key_partition, source_from_path
 from vereda.operators import grouping, ordered, quality
 from vereda.plans import anomalies, gold, serve, silver
-from vereda.session import new_folder, park
+from vereda.session import fixed_table, new_folder, park
 from vereda.sinks import files, topics
 from vereda.sources import jsonl, lake, payloads
 from vereda.streaming import ingest
@@ -61,9 +61,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _names(spark, series):
-    return spark.createDataFrame(
-        series, "chave string, serie_codigo string, serie_nome string, unidade string"
-    )
+    return fixed_table(spark, series, ["chave", "serie_codigo", "serie_nome", "unidade"])
 
 
 def _money(column):
@@ -95,7 +93,7 @@ def monthly_points(spark, sf_dir):
     points = sums.join(_names(spark, ORDER_SERIES), "chave").select(
         "serie_codigo", "serie_nome", "unidade", "data_ref", value.alias("valor")
     )
-    return _dated(points)
+    return park(_dated(points), "pontos")
 
 
 def event_points(spark, sf_dir):
@@ -129,13 +127,18 @@ def part_points(spark, sf_dir):
         F.lit("0").alias("serie_codigo"), "serie_nome", F.lit("R$").alias("unidade"),
         "data_ref", value.alias("valor"),
     )
-    return _dated(points)
+    return park(_dated(points), "pontos")
 
 
 def monthly_silver(spark, sf_dir):
     return silver.silver_indicators(monthly_points(spark, sf_dir), ORDERS_DAY)
 
 
+def monthly_table(spark, sf_dir):
+    """The silver model as the stored table that gold, reads and checks share."""
+    return park(monthly_silver(spark, sf_dir), "silver")
+
+
 def _chunk(spark, sf_dir):
     """Rows per task that sends the event series, a fifth of the rows each, down the chunked
     path at any scale."""
@@ -157,7 +160,7 @@ def _columns(df, *drop):
 
 
 def geographic_records(spark, sf_dir):
-    regions = spark.createDataFrame(REGIONS, "r_name string, regiao string")
+    regions = fixed_table(spark, REGIONS, ["r_name", "regiao"])
     return (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -199,6 +202,10 @@ def places_model(spark, sf_dir):
     return silver.silver_places(place_records(spark, sf_dir), ORDERS_DAY)
 
 
+def places_table(spark, sf_dir):
+    return park(places_model(spark, sf_dir), "silver")
+
+
 def ranking_model(spark, sf_dir):
     return gold.gold_ranking(places_model(spark, sf_dir), ORDERS_DAY)
 
@@ -215,7 +222,7 @@ def event_payloads(spark, sf_dir):
         F.date_format("ts", "dd/MM/yyyy").alias("data"),
         F.regexp_replace(F.col("value").cast("string"), r"\.", ",").alias("valor"),
     )
-    page = F.floor(F.col("event_id") / PAGE)
+    page = F.expr(f"event_id div {PAGE}")
     return events.groupBy("serie_codigo", page.alias("pagina")).agg(
         F.to_json(F.collect_list(point)).alias("body")
     )
@@ -237,7 +244,7 @@ def place_payloads(spark, sf_dir):
             ).alias("mesorregiao"),
         ).alias("microrregiao"),
     )
-    page = F.floor(F.col("codigo_ibge").cast("bigint") / PAGE)
+    page = F.expr(f"bigint(codigo_ibge) div {PAGE}")
     return geographic_records(spark, sf_dir).groupBy(page.alias("pagina")).agg(
         F.to_json(F.collect_list(place)).alias("body")
     )
@@ -297,7 +304,7 @@ def price_texts(spark, sf_dir):
 def event_lines(spark, sf_dir):
     """One JSON line per event in a file named after its source and day; the lines of
     ``error`` events are cut short and their path names no source."""
-    sources = spark.createDataFrame(EVENT_SOURCES, "event_type string, origem string")
+    sources = fixed_table(spark, EVENT_SOURCES, ["event_type", "origem"])
     events = table(spark, sf_dir, "events").join(sources, "event_type", "left")
     day = F.date_format("ts", "yyyy-MM-dd")
     path = F.concat_ws(
@@ -331,8 +338,9 @@ def unroutable_sources(spark, sf_dir):
 
 
 def ingest_counts(spark, sf_dir):
-    good, broken = jsonl.parse_lines(event_lines(spark, sf_dir))
-    return topics.ingest_counts(good, topics.topic_map(spark), broken)
+    return topics.ingest_counts(
+        jsonl.tag_lines(event_lines(spark, sf_dir)), topics.topic_map(spark)
+    )
 
 
 def keyed_routing(spark, sf_dir):
@@ -507,7 +515,7 @@ def _with_history(columns):
 
 def latest_per_key(spark, sf_dir):
     return grouping.latest_per_key(
-        _columns(monthly_silver(spark, sf_dir)), ["serie_nome"], ["data_ref", "valor"]
+        _columns(monthly_table(spark, sf_dir)), ["serie_nome"], ["data_ref", "valor"]
     )
 
 
@@ -529,7 +537,7 @@ def interpretation(spark, sf_dir):
 
 
 def panorama_model(spark, sf_dir):
-    return gold.gold_panorama(monthly_silver(spark, sf_dir), ORDERS_DAY)
+    return gold.gold_panorama(monthly_table(spark, sf_dir), ORDERS_DAY)
 
 
 # Places, ranks
@@ -634,17 +642,15 @@ def isolation_forest_parts(spark, sf_dir):
 # Quality
 
 
-def _models(spark, sf_dir):
-    return {
-        "silver_indicators": monthly_silver(spark, sf_dir),
-        "silver_places": places_model(spark, sf_dir),
-        "gold_panorama": panorama_model(spark, sf_dir),
-        "gold_ranking": ranking_model(spark, sf_dir),
-    }
-
-
 def quality_summary(spark, sf_dir):
-    return quality.run_checks(_models(spark, sf_dir))
+    """All declared checks over the four model tables."""
+    indicators, places = monthly_table(spark, sf_dir), places_table(spark, sf_dir)
+    return quality.run_checks({
+        "silver_indicators": indicators,
+        "silver_places": places,
+        "gold_panorama": gold.gold_panorama(indicators, ORDERS_DAY),
+        "gold_ranking": park(gold.gold_ranking(places, ORDERS_DAY), "gold"),
+    })
 
 
 QUERIES = {
@@ -721,8 +727,8 @@ QUERIES = {
     # Read functions
     "list_indicators": lambda s, d: serve.list_indicators(panorama_model(s, d)),
     "market_panorama": lambda s, d: serve.market_panorama(panorama_model(s, d)),
-    "series_history": lambda s, d: serve.series_history(monthly_silver(s, d), "ipca", 1997, 1999),
-    "latest_value": lambda s, d: serve.latest_value(monthly_silver(s, d), "Selic"),
+    "series_history": lambda s, d: serve.series_history(monthly_table(s, d), "ipca", 1997, 1999),
+    "latest_value": lambda s, d: serve.latest_value(monthly_table(s, d), "Selic"),
     "place_ranking": lambda s, d: serve.place_ranking(ranking_model(s, d), "sudeste", limit=50),
     "list_anomalies": lambda s, d: serve.list_anomalies(
         flagged_months(s, d), "igp-m", "alta", limit=20),

@@ -45,6 +45,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_root
 
 
+def fixed_table(spark: SparkSession, rows, columns) -> DataFrame:
+    """A short list from the program as an inline table.
+
+    Spark knows the size of an inline table, so it broadcasts a small one on its own, and
+    does not shuffle the other side of the join to find out.
+    """
+    width = len(columns)
+    cells = {f"cell{i}": cell for i, cell in enumerate(cell for row in rows for cell in row)}
+    marks = [f":{name}" for name in cells]
+    entries = [f"({', '.join(marks[i:i + width])})" for i in range(0, len(marks), width)]
+    return spark.sql(
+        f"SELECT * FROM VALUES {', '.join(entries)} AS fixed({', '.join(columns)})", args=cells
+    )
+
+
 def _application_folder(spark):
     application = spark.conf.get("spark.app.id", "application")
     return f"{shared_folder(spark)}/vereda-{application}"

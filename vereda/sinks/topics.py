@@ -3,11 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vereda import presets
+from vereda.session import fixed_table
 
 
 def topic_map(spark: SparkSession, topics=None) -> DataFrame:
     pairs = list((topics or presets.TOPICS).items())
-    return spark.createDataFrame(pairs, "fonte string, topic string")
+    return fixed_table(spark, pairs, ["fonte", "topic"])
 
 
 def message_key(fields=presets.KEY_FIELDS, default=presets.DEFAULT_KEY):
@@ -33,13 +34,12 @@ def record_value(df: DataFrame, columns=None):
     return F.to_json(F.struct(*(columns or df.columns)), {"ignoreNullFields": "false"})
 
 
-def ingest_counts(lines: DataFrame, topics: DataFrame, broken: DataFrame) -> DataFrame:
-    """Messages sent per file. Files that send none, for any reason, count zero."""
-    sent = lines.join(topics, "fonte", "left").select(
-        "arquivo", F.col("topic").isNotNull().cast("bigint").alias("enviada")
+def ingest_counts(tagged: DataFrame, topics: DataFrame) -> DataFrame:
+    """Messages sent per file of tagged lines. A file that sends none counts zero."""
+    sent = F.col("inteira") & F.col("topic").isNotNull()
+    return tagged.join(topics, "fonte", "left").groupBy("arquivo").agg(
+        F.count_if(sent).alias("mensagens")
     )
-    lost = broken.select("arquivo", F.lit(0).cast("bigint").alias("enviada"))
-    return sent.unionAll(lost).groupBy("arquivo").agg(F.sum("enviada").alias("mensagens"))
 
 
 def ingest_totals(counts: DataFrame) -> DataFrame:

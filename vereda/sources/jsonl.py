@@ -27,15 +27,20 @@ def scan_jsonl(spark: SparkSession, root: str, suffix=".jsonl") -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, fields=presets.KEY_FIELDS):
-    """Good lines with the named text fields read from them, and lines that are no object."""
+def tag_lines(lines: DataFrame, fields=presets.KEY_FIELDS) -> DataFrame:
+    """The named text fields of every line, and whether the line is a whole JSON object."""
     schema = ", ".join([f"{name} string" for name in fields] + [f"{_BROKEN} string"])
-    parsed = lines.withColumn(
-        "dados",
-        F.from_json("linha", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}),
+    record = F.from_json(
+        "linha", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
     )
-    whole = F.trim("linha").endswith("}")
-    good = F.col(f"dados.{_BROKEN}").isNull() & F.col("dados").isNotNull() & whole
-    kept = parsed.filter(good).select(*lines.columns, *[F.col(f"dados.{name}") for name in fields])
-    rejected = parsed.filter(~F.coalesce(good, F.lit(False))).select(*lines.columns)
-    return kept, rejected
+    # Generated columns: a filter on them cannot make Spark parse the line again.
+    parsed = lines.select("*", F.inline(F.array(record)))
+    whole = F.col(_BROKEN).isNull() & F.rtrim("linha").endswith("}")
+    return parsed.withColumn("inteira", F.coalesce(whole, F.lit(False))).drop(_BROKEN)
+
+
+def parse_lines(lines: DataFrame, fields=presets.KEY_FIELDS):
+    """Good lines with the named text fields read from them, and lines that are no object."""
+    tagged = tag_lines(lines, fields)
+    kept = tagged.filter("inteira").drop("inteira")
+    return kept, tagged.filter("NOT inteira").select(*lines.columns)

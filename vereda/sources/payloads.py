@@ -4,14 +4,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vereda import presets, schemas
 from vereda.functions.conversion import day_first_date, decimal_comma_double
+from vereda.session import fixed_table
 
 
 def series_catalogue(spark: SparkSession, series=presets.SERIES) -> DataFrame:
-    return spark.createDataFrame(series, "serie_codigo string, serie_nome string, unidade string")
+    return fixed_table(spark, series, ["serie_codigo", "serie_nome", "unidade"])
 
 
 def place_codes(spark: SparkSession, places=presets.PLACES) -> DataFrame:
-    return spark.createDataFrame(places, "codigo_ibge string, rotulo string")
+    return fixed_table(spark, places, ["codigo_ibge", "rotulo"])
 
 
 def _collected(collected_at):

@@ -32,19 +32,20 @@ def log_source(spark: SparkSession, path: str, topic: str, files_per_batch=None)
 
 
 def decode_series(messages: DataFrame) -> DataFrame:
-    """Series records with the message position. A broken value is an all-null record."""
+    """Series records with the message position. A broken value is an all-null record.
+
+    The record is generated, so later filters do not parse the value a second time.
+    """
     record = F.from_json(F.col("value").cast("string"), schemas.SERIES_RECORD)
     return messages.select(
-        record.alias("data"), F.col("timestamp").alias("kafka_timestamp"), "partition", "offset"
-    ).select("data.*", "kafka_timestamp", "partition", "offset")
+        F.inline(F.array(record)), F.col("timestamp").alias("kafka_timestamp"), "partition", "offset"
+    )
 
 
 def decode_places(messages: DataFrame) -> DataFrame:
     """Place records with the message time. A broken value is an all-null record."""
     record = F.from_json(F.col("value").cast("string"), schemas.PLACE_RECORD)
-    return messages.select(
-        record.alias("data"), F.col("timestamp").alias("kafka_timestamp")
-    ).select("data.*", "kafka_timestamp")
+    return messages.select(F.inline(F.array(record)), F.col("timestamp").alias("kafka_timestamp"))
 
 
 def refine_series(records: DataFrame, as_of=None) -> DataFrame:
