@@ -206,11 +206,11 @@ def score_forest(points: DataFrame, forest: DataFrame, group, features, score="_
     Rows of a group go to ``ceil(rows / block_rows)`` blocks by scan position, so copies of
     a row spread as well; groups without a forest get null.
     """
-    counted = group_stats(points, [group], _n=F.count(F.lit(1)))
     blocks = F.ceil(F.col("_n") / F.lit(float(block_rows)))
-    rows = counted.withColumn(
-        "_bloco", F.pmod(F.monotonically_increasing_id(), blocks).cast("bigint")
-    ).drop("_n")
+    numbered = points.withColumn(_ID, F.monotonically_increasing_id())
+    rows = group_stats(numbered, [group], _n=F.count(F.lit(1))).withColumn(
+        "_bloco", F.pmod(F.col(_ID), blocks).cast("bigint")
+    ).drop("_n", _ID)
     sizes = points.groupBy(F.col(group).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
     nodes = (
         forest.withColumns({
