@@ -6,7 +6,7 @@ import statistics
 import sys
 import time
 
-from vereda.session import get_session
+from vereda.session import get_session, release_parked
 from vereda.plans.workload import QUERIES
 
 HEADLINE = [
@@ -29,7 +29,9 @@ def main():
     def run(name):
         began = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - began
+        taken = time.perf_counter() - began
+        release_parked(spark)
+        return taken
 
     seconds = {}
     for name in sys.argv[1:] or HEADLINE:

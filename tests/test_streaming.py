@@ -69,7 +69,6 @@ def test_run_streams_stops_all(spark):
     source = ingest.log_source(spark, log, ingest.TOPIC_OF_SERIES)
     ends = ingest.ingest_series_stream(source, f"{out}/1", f"{state}/1", DAY, bounded=True)
     runs_on = ingest.ingest_series_stream(source, f"{out}/2", f"{state}/2", DAY)
-    spark.streams.resetTerminated() if ends.isActive else None
     ingest.run_streams(spark, ends, runs_on)
     assert not ends.isActive and not runs_on.isActive
 

@@ -22,14 +22,16 @@ def largest_group(df: DataFrame, keys) -> int:
     return counts.agg(F.max("_rows")).first()[0] or 0
 
 
-def place_rows(df: DataFrame, order, row="_row", total="_total") -> DataFrame:
+def place_rows(df: DataFrame, order, stable=False, row="_row", total="_total") -> DataFrame:
     """Number all rows 1..N by ``order``, and attach N, without a one-task sort.
 
     Rows equal in ``order`` are told apart by their place in the stored input, so a large
     set of copies is also spread over tasks. Both tables are written, which keeps the
-    numbers stable when an executor is lost.
+    numbers the same when an executor is lost. ``stable`` says that ``df`` is a scan of
+    files with row-wise steps and broadcast joins only; it is then not copied first.
     """
-    stored = park(df, "unplaced").withColumn("_tie", F.monotonically_increasing_id())
+    stored = df if stable else park(df, "unplaced")
+    stored = stored.withColumn("_tie", F.monotonically_increasing_id())
     keys = [*order, F.col("_tie")]
     placed = park(
         stored.repartitionByRange(*keys)
@@ -118,14 +120,15 @@ def chunked_windows(placed: DataFrame, group, lags=None, running=None,
 
 
 def ordered_windows(df: DataFrame, group, order, lags=None, running=None,
-                    rows_per_task=ROWS_PER_TASK) -> DataFrame:
+                    rows_per_task=ROWS_PER_TASK, stable=False) -> DataFrame:
     """Lags and running sums by ``group`` in ``order``; see ``chunked_windows``.
 
     ``order`` has to tell rows of a group apart for the result to be the same every time.
+    ``stable`` is explained at ``place_rows``.
     """
     lags, running = lags or {}, running or {}
     if largest_group(df, group) > rows_per_task:
-        placed = place_rows(df, [*map(F.col, group), *order])
+        placed = place_rows(df, [*map(F.col, group), *order], stable)
         windows = chunked_windows(placed, group, lags, running, rows_per_task)
         return windows.drop("_row", "_total")
     by_group = Window.partitionBy(*group).orderBy(*order)
@@ -141,21 +144,22 @@ def ordered_windows(df: DataFrame, group, order, lags=None, running=None,
 
 
 def row_numbers(df: DataFrame, order, group=(), column="posicao",
-                rows_per_task=ROWS_PER_TASK) -> DataFrame:
+                rows_per_task=ROWS_PER_TASK, stable=False) -> DataFrame:
     """Row number by ``order``, over everything or within each group."""
     if not group:
-        placed = place_rows(df, order)
+        placed = place_rows(df, order, stable)
         return placed.withColumn(column, F.col("_row")).drop("_row", "_total")
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
     numbered = ordered_windows(
-        one, list(group), order, running={column: ("_one", [])}, rows_per_task=rows_per_task
+        one, list(group), order, running={column: ("_one", [])}, rows_per_task=rows_per_task,
+        stable=stable,
     )
     return numbered.drop("_one")
 
 
-def percent_ranks(df: DataFrame, value, column="percentil") -> DataFrame:
+def percent_ranks(df: DataFrame, value, column="percentil", stable=False) -> DataFrame:
     """``(rank - 1) / (rows - 1)`` by ``value`` over everything, 0 for a single row."""
-    placed = place_rows(df, [F.col(value).asc_nulls_last()])
+    placed = place_rows(df, [F.col(value).asc_nulls_last()], stable)
     first = placed.groupBy(F.col(value).alias("_value")).agg(
         F.min("_row").alias("_rank"), F.max("_total").alias("_of")
     )
@@ -191,12 +195,12 @@ def percent_ranks_of_bands(df: DataFrame, value, column="percentil") -> DataFram
 
 
 def group_quantile(df: DataFrame, group, value, share, column="limite",
-                   rows_per_task=ROWS_PER_TASK) -> DataFrame:
+                   rows_per_task=ROWS_PER_TASK, stable=False) -> DataFrame:
     """Exact, linearly interpolated quantile of ``value`` by group, nulls left out."""
     known = df.filter(F.col(value).isNotNull()).select(*group, value)
     if largest_group(known, group) <= rows_per_task:
         return known.groupBy(*group).agg(F.percentile(value, F.lit(share)).alias(column))
-    placed = place_rows(known, [*map(F.col, group), F.col(value)])
+    placed = place_rows(known, [*map(F.col, group), F.col(value)], stable)
     spans = placed.groupBy(*group).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )

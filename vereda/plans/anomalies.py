@@ -20,6 +20,10 @@ RESULT_COLUMNS = [
 ]
 
 
+def distinct_series(points: DataFrame) -> DataFrame:
+    return points.select(SERIES).distinct()
+
+
 def min_history(points: DataFrame, least=presets.MIN_HISTORY) -> DataFrame:
     """Points of series that have at least ``least`` of them."""
     counted = group_stats(points, [SERIES], _pontos=F.count(F.lit(1)))
@@ -58,11 +62,12 @@ def minmax_100(points: DataFrame, score, column="anomalia_score_norm") -> DataFr
 
 
 def contamination_threshold(points: DataFrame, score, share=presets.CONTAMINATION,
-                            column="anomalia", rows_per_task=ROWS_PER_TASK) -> DataFrame:
+                            column="anomalia", rows_per_task=ROWS_PER_TASK,
+                            stable=False) -> DataFrame:
     """Flag scores strictly below the ``share`` quantile of their series."""
-    limits = group_quantile(points, [SERIES], score, share, "_limite", rows_per_task).select(
-        F.col(SERIES).alias("_serie"), "_limite"
-    )
+    limits = group_quantile(
+        points, [SERIES], score, share, "_limite", rows_per_task, stable
+    ).select(F.col(SERIES).alias("_serie"), "_limite")
     joined = points.join(limits, F.col(SERIES).eqNullSafe(F.col("_serie")), "left")
     flag = F.coalesce(F.col(score) < F.col("_limite"), F.lit(False))
     return joined.withColumn(column, flag).drop("_serie", "_limite")
@@ -71,9 +76,9 @@ def contamination_threshold(points: DataFrame, score, share=presets.CONTAMINATIO
 def grade(scored: DataFrame, score, rows_per_task=ROWS_PER_TASK) -> DataFrame:
     """Flag, rounded score, 0-100 score and severity of scored points.
 
-    ``scored`` should be stored: it is read three times.
+    ``scored`` has to be stored: it is read several times.
     """
-    flagged = contamination_threshold(scored, score, rows_per_task=rows_per_task)
+    flagged = contamination_threshold(scored, score, rows_per_task=rows_per_task, stable=True)
     scaled = minmax_100(flagged, score)
     return scaled.withColumns({
         "anomalia_score": F.bround(F.col(score), 4),

@@ -42,17 +42,20 @@ def gold_panorama(indicators: DataFrame, as_of=None) -> DataFrame:
 
 
 def gold_ranking(places: DataFrame, as_of=None, value_weight=presets.VALUE_WEIGHT,
-                 score_weight=presets.SCORE_WEIGHT, rows_per_task=ROWS_PER_TASK) -> DataFrame:
+                 score_weight=presets.SCORE_WEIGHT, rows_per_task=ROWS_PER_TASK,
+                 stable=False) -> DataFrame:
     """Places by a weighted mean of their population and score percentiles.
 
     The score never falls as the population grows, so descending population, then code, is
     also the order of the composite. One placing of the rows gives the overall rank, the
-    population percentile and, counted chunk by chunk, the rank within the region.
+    population percentile and, counted chunk by chunk, the rank within the region. Set
+    ``stable`` when ``places`` is a stored table.
     """
     if not (value_weight > 0 and score_weight >= 0):
         raise ValueError("the population weight has to be positive, the score weight not negative")
     known = places.filter(F.col("populacao").isNotNull())
-    placed = place_rows(known, [F.col("populacao").desc(), F.col("codigo_ibge").asc()])
+    order = [F.col("populacao").desc(), F.col("codigo_ibge").asc()]
+    placed = place_rows(known, order, stable)
     numbered = chunked_windows(
         placed.withColumn("_one", F.lit(1).cast("bigint")), ["regiao"],
         running={"ranking_na_regiao": ("_one", [])}, rows_per_task=rows_per_task,

@@ -20,23 +20,25 @@ def point_order(points: DataFrame):
     return [F.col("data_ref"), *map(F.col, known)]
 
 
-def with_history(points: DataFrame, rows_per_task=ROWS_PER_TASK) -> DataFrame:
+def with_history(points: DataFrame, rows_per_task=ROWS_PER_TASK, stable=False) -> DataFrame:
     """Two previous values of each point and the running sum of its year."""
     return ordered_windows(
         points, ["serie_nome"], point_order(points),
         lags={"valor_anterior": ("valor", 1), "valor_antes": ("valor", 2)},
         running={"soma_ano": ("valor", ["ano"])},
-        rows_per_task=rows_per_task,
+        rows_per_task=rows_per_task, stable=stable,
     )
 
 
-def silver_indicators(bronze: DataFrame, as_of=None, rows_per_task=ROWS_PER_TASK) -> DataFrame:
+def silver_indicators(bronze: DataFrame, as_of=None, rows_per_task=ROWS_PER_TASK,
+                      stable=False) -> DataFrame:
     """One row per point with changes, year-to-date sum, trend and target flag.
 
-    Changes and the flag come from unrounded values; ``valor`` itself is rounded last.
+    Changes and the flag come from unrounded values; ``valor`` itself is rounded last. Set
+    ``stable`` when ``bronze`` is read from lake files and not computed by a shuffle.
     """
     dated = bronze.filter(F.col("data_ref").isNotNull())
-    history = with_history(dated, rows_per_task)
+    history = with_history(dated, rows_per_task, stable)
     value, previous, before = F.col("valor"), F.col("valor_anterior"), F.col("valor_antes")
     return history.select(
         "serie_codigo", "serie_nome", "unidade", "categoria", "data_ref", "ano", "mes",

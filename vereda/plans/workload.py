@@ -148,7 +148,7 @@ def _chunk(spark, sf_dir):
 
 def event_silver(spark, sf_dir):
     return silver.silver_indicators(
-        event_points(spark, sf_dir), EVENTS_DAY, _chunk(spark, sf_dir)
+        event_points(spark, sf_dir), EVENTS_DAY, _chunk(spark, sf_dir), stable=True
     )
 
 
@@ -207,7 +207,7 @@ def places_table(spark, sf_dir):
 
 
 def ranking_model(spark, sf_dir):
-    return gold.gold_ranking(places_model(spark, sf_dir), ORDERS_DAY)
+    return gold.gold_ranking(places_table(spark, sf_dir), ORDERS_DAY, stable=True)
 
 
 # Payload documents
@@ -503,7 +503,7 @@ def bronze_places(spark, sf_dir):
 
 def _history(spark, sf_dir):
     """Event points with neighbours, through the chunked path."""
-    return silver.with_history(event_points(spark, sf_dir), _chunk(spark, sf_dir))
+    return silver.with_history(event_points(spark, sf_dir), _chunk(spark, sf_dir), stable=True)
 
 
 def _with_history(columns):
@@ -560,7 +560,7 @@ def percentile_by_score(spark, sf_dir):
 def percentile_of_events(spark, sf_dir):
     """Percent rank of every event value; values repeat."""
     events = table(spark, sf_dir, "events").select("event_id", "value")
-    ranked = ordered.percent_ranks(events, "value")
+    ranked = ordered.percent_ranks(events, "value", stable=True)
     return ranked.select("event_id", F.round(F.col("percentil") * 100.0, 4).alias("percentil"))
 
 
@@ -584,7 +584,7 @@ def rank_events_in_group(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     order = [F.col("value").desc(), F.col("event_id").asc()]
     return ordered.row_numbers(
-        events, order, ["event_type"], "posicao", _chunk(spark, sf_dir)
+        events, order, ["event_type"], "posicao", _chunk(spark, sf_dir), stable=True
     )
 
 
@@ -639,6 +639,17 @@ def isolation_forest_parts(spark, sf_dir):
     return _columns(anomalies.detect_all(months, ORDERS_DAY, trees=10))
 
 
+def anomaly_report(spark, sf_dir):
+    """The entries of the report document, one row per series."""
+    document = anomalies.anomaly_report(park(flagged_months(spark, sf_dir), "notas"), ORDERS_DAY)
+    entries = document.select(F.explode("por_serie").alias("serie_nome", "r"))
+    top = F.transform("r.top_anomalias", lambda t: F.concat_ws(
+        " ", F.date_format(t["data_ref"], "yyyy-MM-dd"), t["severidade"]))
+    return entries.select(
+        "serie_nome", "r.total", "r.anomalias", "r.pct", F.concat_ws(", ", top).alias("topo")
+    )
+
+
 # Quality
 
 
@@ -649,7 +660,7 @@ def quality_summary(spark, sf_dir):
         "silver_indicators": indicators,
         "silver_places": places,
         "gold_panorama": gold.gold_panorama(indicators, ORDERS_DAY),
-        "gold_ranking": park(gold.gold_ranking(places, ORDERS_DAY), "gold"),
+        "gold_ranking": park(gold.gold_ranking(places, ORDERS_DAY, stable=True), "gold"),
     })
 
 
@@ -734,6 +745,7 @@ QUERIES = {
         flagged_months(s, d), "igp-m", "alta", limit=20),
     "anomaly_summary": lambda s, d: serve.anomaly_summary(flagged_events(s, d)),
     # Anomalies
+    "distinct_series": lambda s, d: anomalies.distinct_series(part_points(s, d)),
     "min_history": min_history,
     "zscore": zscore,
     "minmax_100": lambda s, d: flagged_events(s, d).select("kafka_offset", "anomalia_score_norm"),
@@ -744,9 +756,7 @@ QUERIES = {
     "isolation_forest_events": isolation_forest_events,
     "isolation_forest_parts": isolation_forest_parts,
     "top_anomalies": lambda s, d: anomalies.top_anomalies(flagged_months(s, d)),
-    "anomaly_report": lambda s, d: anomalies.report_by_series(flagged_months(s, d)).select(
-        "serie_nome", "total", "anomalias", "pct",
-        F.to_json("top_anomalias").alias("top_anomalias")),
+    "anomaly_report": anomaly_report,
     "report_totals": lambda s, d: anomalies.report_totals(flagged_events(s, d)),
     # Quality
     "dq_not_null": lambda s, d: quality.not_null(

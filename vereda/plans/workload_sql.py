@@ -228,15 +228,15 @@ def _unit(start):
     return f"CAST('0x' || substr(h, {start}, 8) AS BIGINT) / 4294967296.0::DOUBLE"
 
 
-def _forest():
+def _forest(silver, trees=TREES):
     """All levels of the forest, for series whose points all fit in one tree's sample."""
     zero = ", ".join(
         f"COALESCE({name}, 0.0) AS f{i}" for i, name in enumerate(presets.FEATURES, 1)
     )
-    steps = [*MONTHLY_SILVER, LONG_ENOUGH, f"""n0 AS (
+    steps = [*silver, LONG_ENOUGH, f"""n0 AS (
   SELECT *, CAST(arvore_ AS INT) AS arvore, CAST(1 AS BIGINT) AS no FROM (
     SELECT serie_nome, data_ref, {zero}, COUNT(*) OVER (PARTITION BY serie_nome) AS psi FROM longos)
-  CROSS JOIN range(1, {TREES + 1}) arvores(arvore_))"""]
+  CROSS JOIN range(1, {trees + 1}) arvores(arvore_))"""]
     spread = ", ".join(f"MIN(f{i}) OVER p AS lo{i}, MAX(f{i}) OVER p AS hi{i}" for i in range(1, 5))
     varying = ", ".join(f"CASE WHEN hi{i} > lo{i} THEN 1 ELSE 0 END AS v{i}" for i in range(1, 5))
     for level in range(math.ceil(math.log2(SAMPLES))):
@@ -424,7 +424,16 @@ ORACLES = {
     "minmax_100": _query(FLAGGED_EVENTS, "SELECT kafka_offset, anomalia_score_norm FROM resultados"),
     "contamination_threshold": _query(FLAGGED_EVENTS, "SELECT kafka_offset, serie_nome, anomalia FROM resultados"),
     "severity_bucket": _query(FLAGGED_EVENTS, "SELECT kafka_offset, severidade FROM resultados"),
-    "isolation_forest": _forest(),
+    "isolation_forest": _forest(MONTHLY_SILVER),
+    "isolation_forest_parts": _forest(PART_SILVER, 10),
+    "anomaly_report": _query([*FLAGGED_MONTHS, TOPS], """SELECT serie_nome, total, anomalias, pct,
+      COALESCE(topo, '') AS topo FROM (
+        SELECT serie_nome, COUNT(*) AS total, CAST(SUM(CAST(anomalia AS INT)) AS BIGINT) AS anomalias,
+          round_even(SUM(CAST(anomalia AS INT)) / COUNT(*)::DOUBLE * 100, 2) AS pct
+        FROM resultados GROUP BY serie_nome)
+      LEFT JOIN (SELECT serie_nome, string_agg(strftime(data_ref, '%Y-%m-%d') || ' ' || severidade, ', '
+        ORDER BY posicao) AS topo FROM tops GROUP BY serie_nome) USING (serie_nome)"""),
+    "distinct_series": _query(PARTS, "SELECT DISTINCT serie_nome FROM pontos"),
     "top_anomalies": _query([*FLAGGED_MONTHS, TOPS], "SELECT * FROM tops"),
     "report_totals": _query(FLAGGED_EVENTS, """SELECT COUNT(*) AS total_registros,
       CAST(SUM(CAST(anomalia AS INT)) AS BIGINT) AS total_anomalias,

@@ -95,9 +95,14 @@ def ingest_places_stream(messages: DataFrame, path, checkpoint, as_of=None, **si
 
 
 def run_streams(spark: SparkSession, *queries) -> None:
-    """Wait until any query ends, and stop all of them on an interrupt or a failure."""
+    """Wait until any of the queries ends, then stop all; also on an interrupt or a failure."""
     try:
-        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+        if all(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
     finally:
         for query in queries:
             query.stop()
