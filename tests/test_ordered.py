@@ -78,6 +78,35 @@ def test_percent_ranks(spark, values):
         assert {r.i: r.percentil for r in ranked.collect()} == wanted
 
 
+def test_too_many_bands_take_the_general_way(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MOST_BANDS", 3)
+    df = spark.range(11).withColumn("v", F.col("id"))
+    ranked = ordered.percent_ranks_of_bands(df, "v")
+    assert {r.id: r.percentil for r in ranked.collect()} == {i: i / 10 for i in range(11)}
+
+
+def test_hot_key_join_is_split(spark):
+    """With no broadcast possible, the join back to group statistics splits a hot key."""
+    settings_ = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {name: spark.conf.get(name) for name in settings_}
+    try:
+        for name, value in settings_.items():
+            spark.conf.set(name, value)
+        key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000)
+        df = spark.range(200_000).repartition(8).select(key.alias("g"), F.rand(1).alias("x"))
+        joined = ordered.group_stats(df, ["g"], n=F.count(F.lit(1)))
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("size", [1, 10_000])
 def test_group_quantile(spark, points, size):
     df = spark.createDataFrame(points)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vereda.session import park
 
 ROWS_PER_TASK = 4_000_000
+MOST_BANDS = 10_000
 
 _TASK_BITS = 33  # monotonically_increasing_id keeps the row number of a task in the low bits
 
@@ -175,12 +176,17 @@ def percent_ranks(df: DataFrame, value, column="percentil", stable=False) -> Dat
     )
 
 
-def percent_ranks_of_bands(df: DataFrame, value, column="percentil") -> DataFrame:
-    """``percent_ranks`` for a column with a fixed handful of values, such as a score.
+def percent_ranks_of_bands(df: DataFrame, value, column="percentil", counted=None) -> DataFrame:
+    """``percent_ranks`` for a column with few values, such as a score.
 
-    One row per value is ordered and broadcast; the rows themselves are not moved.
+    One row per value is ordered and broadcast; the rows themselves are not moved. A column
+    that turns out to have more than ``MOST_BANDS`` values takes the general way. The values
+    are counted in ``counted``, a cheaper frame with the same rows, where there is one.
     """
-    bands = df.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    source = df if counted is None else counted
+    if source.select(value).distinct().limit(MOST_BANDS + 1).count() > MOST_BANDS:
+        return percent_ranks(df, value, column)
+    bands = source.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     by_value = Window.orderBy(F.col("_value").asc_nulls_last())
     below = F.sum("_rows").over(by_value.rowsBetween(Window.unboundedPreceding, -1))
     of = F.sum("_rows").over(

@@ -71,7 +71,7 @@ def gold_ranking(places: DataFrame, as_of=None, value_weight=presets.VALUE_WEIGH
         ).alias("_por_valor")
     )
     ranked = numbered.join(shares, F.col("populacao") == F.col("_populacao"))
-    ranked = percent_ranks_of_bands(ranked, "score_relevancia", "_por_score")
+    ranked = percent_ranks_of_bands(ranked, "score_relevancia", "_por_score", placed)
     composite = labels.composite_score(
         F.col("_por_valor"), F.col("_por_score"), value_weight, score_weight
     )

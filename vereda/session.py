@@ -11,8 +11,11 @@ _local_root = None
 
 
 def get_session(app_name="vereda", master=None, **settings):
-    """A session with adaptive execution, UTC, no UI and no per-column call sites, which make
-    building plans slow; ``settings`` override."""
+    """A session with adaptive execution and UTC; ``settings`` override.
+
+    Call sites per column are off, because they make plans slow to build, and the cache of
+    compiled code is large enough for the many stages of a forest.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -23,6 +26,7 @@ def get_session(app_name="vereda", master=None, **settings):
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.sql.codegen.cache.maxEntries": "1000",
     }
     options.update({name.replace("__", "."): value for name, value in settings.items()})
     for name, value in options.items():

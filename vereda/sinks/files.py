@@ -55,6 +55,9 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def persist_forest(forest: DataFrame, path: str) -> None:
-    """Store forest nodes, one folder per lower-case series name."""
+    """Store forest nodes, one folder and file per lower-case series name.
+
+    A forest has a bounded number of nodes, so no name is too much for one task.
+    """
     named = forest.withColumn("modelo", F.lower("serie_nome"))
-    named.write.mode("overwrite").partitionBy("modelo").parquet(path)
+    named.repartition("modelo").write.mode("overwrite").partitionBy("modelo").parquet(path)
