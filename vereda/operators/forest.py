@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from vereda import presets
 from vereda.operators.ordered import group_stats, largest_group
+from vereda.session import park
 
 BLOCK_ROWS = 100_000
 
@@ -155,9 +156,15 @@ def grow_forest(samples: DataFrame, group, features, max_samples=presets.MAX_SAM
 
 def fit_forest(points: DataFrame, group, key, features, trees=presets.TREES,
                max_samples=presets.MAX_SAMPLES, seed=presets.SEED) -> DataFrame:
-    """Forest nodes of every group of a stored points table."""
+    """Forest nodes of every group of a stored points table.
+
+    The samples, a bounded number of rows per group, are stored: adaptive execution would
+    otherwise plan all levels again after each step of the sampling.
+    """
     numbered = points.withColumn(_ID, F.monotonically_increasing_id())
-    samples = draw_samples(numbered, group, key, features, trees, max_samples, seed)
+    samples = park(
+        draw_samples(numbered, group, key, features, trees, max_samples, seed), "samples"
+    )
     largest = min(max_samples, largest_group(points, [group]))
     return grow_forest(samples, group, features, largest, seed)
 

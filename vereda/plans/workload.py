@@ -105,7 +105,7 @@ def event_points(spark, sf_dir):
         "serie_codigo", "serie_nome", "unidade",
         F.to_date("ts").alias("data_ref"),
         F.col("value").alias("valor"),
-        F.col("ts").alias("kafka_timestamp"),
+        F.col("ts").cast("timestamp").alias("kafka_timestamp"),
         key_partition(F.col("serie_codigo"), TOPIC_PARTITIONS).alias("kafka_partition"),
         F.col("event_id").alias("kafka_offset"),
     )
