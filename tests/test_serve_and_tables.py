@@ -59,3 +59,17 @@ def test_shared_folder(spark):
     assert session.new_folder(spark, "a") != session.new_folder(spark, "a")
     rows = [("a'b", None), ('c"d', "e")]
     assert [tuple(r) for r in session.fixed_table(spark, rows, ["x", "y"]).collect()] == rows
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    class Conf(dict):
+        def get(self, name, default=None):
+            return super().get(name, default)
+
+    class Session:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(RuntimeError):
+        session.shared_folder(Session)
+    Session.conf["spark.checkpoint.dir"] = "hdfs://nn/shared/"
+    assert session.shared_folder(Session) == "hdfs://nn/shared"

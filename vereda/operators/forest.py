@@ -18,6 +18,7 @@ from vereda.operators.ordered import group_stats, largest_group
 from vereda.session import park
 
 BLOCK_ROWS = 100_000
+SAMPLES_PER_TASK = 200_000
 
 EULER = 0.5772156649015329
 _PRIME = 2147483647  # sample order of tree t is (a*h + b) modulo this prime
@@ -89,13 +90,15 @@ def draw_samples(points: DataFrame, group, key, features, trees=presets.TREES,
 
 
 def grow_forest(samples: DataFrame, group, features, max_samples=presets.MAX_SAMPLES,
-                seed=presets.SEED) -> DataFrame:
+                seed=presets.SEED, tasks=None) -> DataFrame:
     """Nodes of all trees: (group, arvore, no, variavel, corte, linhas, nivel, amostra).
 
-    ``max_samples`` is the size of the largest sample. ``no`` is 1 for the root and 2k, 2k + 1 below node k; a leaf has no ``variavel``.
+    ``no`` is 1 for the root and 2k, 2k + 1 below node k; a leaf has no ``variavel``.
+    ``max_samples`` is the size of the largest sample. The number of ``tasks`` is fixed,
+    because levels cost time, not bytes, and would be merged into too few tasks.
     """
     depth = math.ceil(math.log2(max(max_samples, 2)))
-    tasks = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     carried = [group, "arvore", "_psi", "_limite", *features]
     rows = samples.repartition(tasks, group, "arvore").select(
         "*",
@@ -166,7 +169,9 @@ def fit_forest(points: DataFrame, group, key, features, trees=presets.TREES,
         draw_samples(numbered, group, key, features, trees, max_samples, seed), "samples"
     )
     largest = min(max_samples, largest_group(points, [group]))
-    return grow_forest(samples, group, features, largest, seed)
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, math.ceil(samples.count() / SAMPLES_PER_TASK))
+    return grow_forest(samples, group, features, largest, seed, tasks)
 
 
 def _score_block(features, score):
