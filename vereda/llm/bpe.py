@@ -12,46 +12,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from vereda.llm.common import text_of
+from vereda.llm.rolling import window_hashes
 from vereda.llm.tokens import encoder
 
 WINDOW = 16  # bytes the rolling hash looks back
-MASK = 1023  # one cut in 1024 bytes on average
+SPACING = 1024  # bytes between cuts on average, beyond the least
 LEAST = 256  # bytes between cuts
 KEPT_BYTES = 32 << 20  # chunks kept per worker
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLANKS = b" \t\n\r"
 
-_powers = {}
-
-
-def _power(n):
-    """Powers of the base and of its inverse modulo 2^64, up to n of them."""
-    held = _powers.get("held", (np.ones(1, np.uint64), np.ones(1, np.uint64)))
-    if len(held[0]) < n:
-        size = max(n, 2 * len(held[0]), 1 << 16)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        held = tuple(
-            np.cumprod(np.r_[np.uint64(1), np.full(size - 1, base, np.uint64)])
-            for base in (_BASE, inverse)
-        )
-        _powers["held"] = held
-    return held[0][:n], held[1][:n]
-
-
 def cuts(data: bytes):
     """Offsets at which a text is cut, its ends not included."""
     n = len(data)
     if n < 2 * LEAST:
         return []
     values = np.frombuffer(data, np.uint8)
-    powers, inverses = _power(n + 1)
-    sums = np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers[:n])
-    # Hash of the WINDOW bytes that end at each place: the same wherever they stand.
-    rolling = (sums[WINDOW:] - sums[:-WINDOW]) * inverses[1:n - WINDOW + 1]
-    rolling ^= rolling >> np.uint64(29)
-    wanted = ((rolling * _BASE) >> np.uint64(54)) == 0 if MASK == 1023 else (rolling & np.uint64(MASK)) == 0
+    wanted = np.flatnonzero(window_hashes(values, WINDOW) % np.uint64(SPACING) == 0)
     out, last = [], 0
-    for place in (np.flatnonzero(wanted) + WINDOW + 1).tolist():
+    for place in (wanted + WINDOW).tolist():
         while place < n and values[place] & 0xC0 == 0x80:  # inside a character
             place += 1
         if place - last >= LEAST and n - place >= LEAST:

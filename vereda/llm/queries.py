@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from vereda.llm import (
-    bpe, chat, exact, multiset, packing, queries_sql, sharding, simhash, urls,
+    bpe, chat, exact, multiset, packing, queries_sql, sharding, simhash, suffixes,
+    toxicity, urls,
 )
 from vereda.llm.common import sha256, table, vocabulary
 
@@ -56,6 +57,16 @@ def op5_packing(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, scorer, carry=["doc_id"])
+    return scored.select(
+        "_doc.doc_id", (F.crc32(F.col("_doc.doc_id").cast("string")) % 5 == 0).alias("held_out"),
+        "score", "predicted",
+    )
+
+
 def op7_url_filters(spark, sf_dir):
     """A labelled page is bad if it is toxic or of low quality."""
     outcomes = table(spark, sf_dir, "labels").select(
@@ -78,6 +89,13 @@ def op9_sharding(spark, sf_dir):
     )
 
 
+def op10_suffix_array_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
+        "_doc.doc_id", "n_bytes", "n_removed", "n_spans",
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     name: query for name, query in list(globals().items())
     if name.startswith("op") and name[2].isdigit()
