@@ -1,10 +1,12 @@
 """Packing into sequences of equal capacity by Karmarkar-Karp multiway differencing.
 
 A document's full windows are sequences of their own. What is left of it is cut into parts of
-a quarter window at most. The parts of a batch are spread over as few windows as their total
-allows by largest differencing: partial partitions, each a list of window sums, are merged
+a quarter window at most. Parts that fill a number of windows but for a few ids are spread
+over them by largest differencing: partial partitions, each a list of window sums, are merged
 largest spread first, the fullest window of one with the emptiest of the other, until one is
-left. If its fullest window is over capacity, the batch is partitioned again over one more.
+left. If its fullest window is over capacity, fewer ids are tried, and at last one window
+more. The last ids of a task, less than a window or little more, go into sequences whose
+lengths are powers of two, which need no padding.
 """
 
 import heapq
@@ -69,6 +71,33 @@ def pack_parts(sizes, capacity=CAPACITY):
         windows += 1
 
 
+def take(parts, size):
+    """The first ``size`` ids of a list of parts, cutting one if need be, and the others."""
+    at = 0
+    while at < len(parts) and size >= parts[at][2]:
+        size -= parts[at][2]
+        at += 1
+    if not size or at == len(parts):
+        return parts[:at], parts[at:]
+    doc, start, length, ids, tokens = parts[at]
+    head = (doc, start, size, ids[:4 * size], tokens)
+    tail = (doc, start + size, length - size, ids[4 * size:], tokens)
+    return [*parts[:at], head], [tail, *parts[at + 1:]]
+
+
+def fill(parts, windows, capacity=CAPACITY):
+    """Lists of parts that nearly fill ``windows`` windows, and the parts left over."""
+    for spare in (0,) if windows == 1 else (1, 8, 64, 256):
+        chosen, rest = take(parts, windows * (capacity - spare))
+        sizes = [part[2] for part in chosen]
+        lists = difference(sizes, windows)
+        if max(sum(sizes[item] for item in items) for items in lists) <= capacity:
+            break
+    else:
+        lists = pack_parts(sizes, capacity)
+    return [[chosen[item] for item in items] for items in lists if items], rest
+
+
 def cut_rest(start, length, part):
     """Near-equal cuts of a rest as (start, length)."""
     pieces = -(-length // part)
@@ -108,13 +137,18 @@ def pack_documents(docs: DataFrame, path: str, doc_id="doc_id", text="text",
                 offset += length
             sequence += 1
 
-        def settle():
+        def settle(last):
             nonlocal waiting, size
-            order = sorted(range(len(waiting)), key=lambda at: -waiting[at][2])
-            waiting = [waiting[at] for at in order]
-            for items in pack_parts([part[2] for part in waiting], capacity):
-                place([waiting[item] for item in items])
-            waiting, size = [], 0
+            if size >= capacity:
+                lists, waiting = fill(waiting, size // capacity, capacity)
+                for parts in lists:
+                    place(parts)
+            size = sum(part[2] for part in waiting)
+            while last and size:
+                length = min(capacity, 1 << size.bit_length() - 1)
+                parts, waiting = take(waiting, length)
+                place(parts)
+                size -= length
 
         def output():
             columns = list(zip(*done))
@@ -138,11 +172,10 @@ def pack_documents(docs: DataFrame, path: str, doc_id="doc_id", text="text",
                         waiting.append((doc, start, length, ids[4 * start:4 * (start + length)], tokens))
                     size += tokens - full
                 if size >= windows * capacity:
-                    settle()
+                    settle(False)
                 if len(done) >= 20000:
                     yield output()
-        if waiting:
-            settle()
+        settle(True)
         if done:
             yield output()
 

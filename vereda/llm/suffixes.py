@@ -421,9 +421,10 @@ def repeated_spans(rows: DataFrame, packed: DataFrame, group=GROUP) -> DataFrame
     found = park(rows.select("_text").mapInArrow(
         _emit_segments, "doc_a bigint, doc_b bigint, span bigint, key bigint, content bigint"
     ), "segments")
-    keys = found.groupBy("key").agg(
+    # Stored, so that the join below deals both sides anew and can split a frequent key.
+    keys = park(found.groupBy("key").agg(
         F.count(F.lit(1)).alias("_rows"), (F.min("content") != F.max("content")).alias("several")
-    ).filter("_rows > 1").select("key", "several")
+    ).filter("_rows > 1").select("key", "several"), "shared-keys")
     shared = park(found.join(keys, "key"), "shared")
     classes = park(shared.groupBy("key", "content").agg(
         F.count(F.lit(1)).alias("_copies"), F.first("several").alias("several"),

@@ -24,6 +24,7 @@ BEGINNINGS = (4, 5, 6, 8)  # letters of a word that may make a voter
 SUPPORT = 3  # toxic texts that a voter must fire on, and one in SHARE of them
 SHARE = 100
 LABEL_FIRES = ((0.0, 0.05), (0.8, 1.0))  # what is believed of the label, in clean and toxic rows
+TOGETHER = 250  # texts counted together before their features leave a task
 CANDIDATES = 4000  # most supported candidates that are looked at
 _WORD = re.compile(r"[^\W\d_]+")
 PATTERNS = [  # ways of writing, each a voter of its own
@@ -64,19 +65,19 @@ def candidate_counts(rows: DataFrame) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            classes = Counter(), Counter()
-            for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-                classes[1 if toxic else 0].update(_features(text))
-            names = [name for name, _ in classes[1].items()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()),
-                 pa.array([classes[1][name] for name in names], pa.int64()),
-                 pa.array([0] * len(names), pa.int64())], names=["feature", "toxic", "clean"])
-            names = list(classes[0])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array([0] * len(names), pa.int64()),
-                 pa.array([classes[0][name] for name in names], pa.int64())],
-                names=["feature", "toxic", "clean"])
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                classes = Counter(), Counter()
+                for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist()):
+                    classes[1 if toxic else 0].update(_features(text))
+                for has_class, found in enumerate(classes):
+                    ones = pa.array(list(found.values()), pa.int64())
+                    none = pa.array(np.zeros(len(found), np.int64))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(found), pa.string()),
+                         *((none, ones) if has_class == 0 else (ones, none))],
+                        names=["feature", "toxic", "clean"],
+                    )
 
     return rows.mapInArrow(count, "feature string, toxic bigint, clean bigint").groupBy(
         "feature"
