@@ -34,12 +34,6 @@ def test_source_from_path(spark):
         "bcb", "ibge", None, None, None, "a"]
 
 
-def test_key_partition_is_stable(spark):
-    keys = ["a", "b", "a", "", "b"]
-    found = column(spark, keys, "string", lambda c: conversion.key_partition(c, 3))
-    assert found[0] == found[2] and found[1] == found[4] and set(found) <= {0, 1, 2}
-
-
 @pytest.mark.parametrize("bounded, expected", [
     (labels.size_bucket, ["pequeno", "pequeno", "médio", "médio", "médio", "médio", "grande",
                           "grande", "metrópole"]),

@@ -1,6 +1,7 @@
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from vereda.session import new_folder
@@ -52,7 +53,7 @@ def test_jsonl_sink_round_trip(spark):
         "fonte string, nome string, valor double, cidade_id string")
     files.write_jsonl_partitioned(records, folder, datetime.datetime(2026, 5, 7))
     files.write_jsonl_partitioned(records.limit(0), folder, datetime.datetime(2026, 5, 7))
-    lines = jsonl.scan_jsonl(spark, folder, ".txt").collect()
+    lines = jsonl.scan_jsonl(spark, folder).collect()
     assert {r.arquivo.rsplit("/", 1)[0] for r in lines} == {
         "fonte=bcb/ano=2026/mes=05/dia=07/cidade=desconhecido",
         "fonte=ibge/ano=2026/mes=05/dia=07/cidade=sp",
@@ -68,3 +69,24 @@ def test_message_log(spark):
         F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.lit("{}").alias("value"))
     topics.write_message_log(rows, folder)
     assert spark.read.parquet(folder).filter("topic = 't'").count() == 3
+
+
+def test_only_single_objects_are_whole(spark):
+    cases = {
+        '{"codigo_ibge": "1"}': True, ' {"codigo_ibge": "1", "x": [1, {"y": "}"}]}  ': True,
+        '{"codigo_ibge": "1"} junk}': False, '{"a": 1}{"b": 2}': False, '{"a": 1},{"b": 2}': False,
+        '{"a": 1}] {"b": 2}': False, '{"a": 1}} {"b": 2}': False, "{'codigo_ibge': '3'}": False,
+        '{"a": 1': False, "[1]": False, "3": False, '{"a": 1}, "b": {"c": 2}': False, "{}": True,
+    }
+    lines = spark.createDataFrame([("f", "bcb", line) for line in cases], "arquivo string, fonte string, linha string")
+    got = {r.linha: r.inteira for r in jsonl.tag_lines(lines).collect()}
+    assert got == cases
+
+
+def test_paths_that_need_escapes(spark, tmp_path):
+    root = tmp_path / "com espaço 100%+a"
+    write(root, "fonte=bcb/cidade=São Paulo/dados 1.jsonl", '{"codigo_ibge": "1"}\n')
+    lines = jsonl.scan_jsonl(spark, str(root)).collect()
+    assert [(r.arquivo, r.fonte) for r in lines] == [("fonte=bcb/cidade=São Paulo/dados 1.jsonl", "bcb")]
+    with pytest.raises(FileNotFoundError):
+        jsonl.scan_jsonl(spark, str(root), "csv")

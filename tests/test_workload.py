@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from vereda.plans import workload
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -31,7 +32,7 @@ def normal(names, rows):
     return sorted((tuple(cell(row[i]) for i in order) for row in rows), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_matches_sql(spark, database, name):
     result = entry.queries()[name](spark, FOLDER)
     ours = [tuple(row) for row in result.collect()]
@@ -43,7 +44,8 @@ def test_matches_sql(spark, database, name):
 
 def test_registry():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"isolation_forest_events"}
+    assert set(workload.QUERIES) - set(entry.oracle_sql()) == {"isolation_forest_events"}
+    assert set(workload.QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -28,9 +28,3 @@ def day_first_date(text: Column) -> Column:
 def source_from_path(path: Column) -> Column:
     """Value of the first ``fonte=`` segment of a path, null where there is none."""
     return F.nullif(F.regexp_extract(path, r"(?:^|/)fonte=([^/=]*)", 1), F.lit(""))
-
-
-def key_partition(key: Column, partitions: int) -> Column:
-    """Topic partition of a key: the same key always lands in the same partition."""
-    digits = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(digits, F.lit(partitions)).cast("int")

@@ -26,12 +26,13 @@ def accepted_values(df: DataFrame, column, values) -> DataFrame:
     )
 
 
-# The declared checks, as (model, column, check).
+TRENDS = [presets.RISING, presets.FALLING, presets.STEADY]
+# The declared checks, as (model, column, check) and the values a check accepts.
 CHECKS = [
     ("silver_indicators", "serie_nome", "not_null"),
     ("silver_indicators", "data_ref", "not_null"),
     ("silver_indicators", "valor", "not_null"),
-    ("silver_indicators", "tendencia_3m", "accepted_values"),
+    ("silver_indicators", "tendencia_3m", "accepted_values", TRENDS),
     ("silver_places", "codigo_ibge", "not_null"),
     ("silver_places", "codigo_ibge", "unique"),
     ("silver_places", "uf", "not_null"),
@@ -41,7 +42,6 @@ CHECKS = [
     ("gold_ranking", "codigo_ibge", "unique"),
     ("gold_ranking", "score_atratividade", "not_null"),
 ]
-TRENDS = [presets.RISING, presets.FALLING, presets.STEADY]
 
 
 def run_checks(models, checks=None) -> DataFrame:
@@ -52,9 +52,9 @@ def run_checks(models, checks=None) -> DataFrame:
     """
     checks = checks or CHECKS
     results = []
-    for model in dict.fromkeys(name for name, _, _ in checks):
+    for model in dict.fromkeys(name for name, *_ in checks):
         df, counted = models[model], []
-        for _, column, check in [entry for entry in checks if entry[0] == model]:
+        for _, column, check, *values in [entry for entry in checks if entry[0] == model]:
             if check == "unique":
                 broken = unique(df, column).agg(F.count(F.lit(1)).alias("violacoes"))
                 results.append(broken.select(
@@ -65,7 +65,7 @@ def run_checks(models, checks=None) -> DataFrame:
             value = F.col(column)
             violations = (
                 F.count_if(value.isNull()) if check == "not_null"
-                else F.count_distinct(F.when(~value.isin(TRENDS), value))
+                else F.count_distinct(F.when(~value.isin(list(values[0])), value))
             )
             counted.append(F.struct(
                 F.lit(column).alias("coluna"), F.lit(check).alias("regra"),

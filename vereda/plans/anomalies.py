@@ -38,17 +38,19 @@ def fill_zero(points: DataFrame, features=presets.FEATURES) -> DataFrame:
 
 
 def zscore(points: DataFrame, features=presets.FEATURES) -> DataFrame:
-    """Features standardised by series as ``z_*``; a constant feature only loses its mean."""
+    """Features standardised by series as ``z_*``, 0 where a feature is constant."""
     filled = fill_zero(points, features)
     stats = {}
     for name in features:
         stats[f"_mean_{name}"] = F.avg(f"_{name}")
-        stats[f"_sd_{name}"] = F.stddev_pop(f"_{name}")
+        # A constant feature: its mean and spread are only near the value and near 0.
+        constant = F.min(f"_{name}") == F.max(f"_{name}")
+        stats[f"_sd_{name}"] = F.when(constant, F.lit(0.0)).otherwise(F.stddev_pop(f"_{name}"))
     measured = group_stats(filled, [SERIES], **stats)
     scaled = {}
     for name in features:
-        spread = F.when(F.col(f"_sd_{name}") == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{name}"))
-        scaled[f"z_{name}"] = (F.col(f"_{name}") - F.col(f"_mean_{name}")) / spread
+        apart = (F.col(f"_{name}") - F.col(f"_mean_{name}")) / F.col(f"_sd_{name}")
+        scaled[f"z_{name}"] = F.when(F.col(f"_sd_{name}") == 0, F.lit(0.0)).otherwise(apart)
     return measured.withColumns(scaled).select(
         *points.columns, *[f"z_{name}" for name in features]
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vereda import presets
 from vereda.functions import labels
-from vereda.functions.conversion import decimal_comma_double, key_partition, source_from_path
+from vereda.functions.conversion import decimal_comma_double, source_from_path
 from vereda.operators import grouping, ordered, quality
 from vereda.plans import anomalies, gold, serve, silver
 from vereda.session import fixed_table, new_folder, park
@@ -53,7 +53,6 @@ EVENT_SOURCES = [
     ("view", "anuncios"),
 ]
 PAGE = 500
-TOPIC_PARTITIONS = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,7 +105,7 @@ def event_points(spark, sf_dir):
         F.to_date("ts").alias("data_ref"),
         F.col("value").alias("valor"),
         F.col("ts").cast("timestamp").alias("kafka_timestamp"),
-        key_partition(F.col("serie_codigo"), TOPIC_PARTITIONS).alias("kafka_partition"),
+        F.lit(0).alias("kafka_partition"),
         F.col("event_id").alias("kafka_offset"),
     )
     return _dated(points)
@@ -139,17 +138,8 @@ def monthly_table(spark, sf_dir):
     return park(monthly_silver(spark, sf_dir), "silver")
 
 
-def _chunk(spark, sf_dir):
-    """Rows per task that sends the event series, a fifth of the rows each, down the chunked
-    path at any scale."""
-    rows = table(spark, sf_dir, "events").count()
-    return max(1, min(ordered.ROWS_PER_TASK, rows // 40))
-
-
 def event_silver(spark, sf_dir):
-    return silver.silver_indicators(
-        event_points(spark, sf_dir), EVENTS_DAY, _chunk(spark, sf_dir), stable=True
-    )
+    return silver.silver_indicators(event_points(spark, sf_dir), EVENTS_DAY, stable=True)
 
 
 def _columns(df, *drop):
@@ -179,9 +169,8 @@ def geographic_records(spark, sf_dir):
 
 
 def demographic_records(spark, sf_dir):
-    """Whole units of urgent order value per customer; many customers have none."""
-    urgent = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    return urgent.groupBy("o_custkey").agg(
+    """Whole units of order value per customer; customers without orders have none."""
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.floor(F.sum(_money("o_totalprice"))).cast("bigint").alias("populacao")
     ).select(
         F.lit("ibge_populacao").alias("fonte"),
@@ -344,8 +333,10 @@ def ingest_counts(spark, sf_dir):
 
 
 def keyed_routing(spark, sf_dir):
-    return to_messages(spark, sf_dir).select(
-        "event_id", "key", key_partition(F.col("key"), TOPIC_PARTITIONS).alias("particao")
+    """Messages of each key, which a topic keeps in order: how many, the first and the last."""
+    return to_messages(spark, sf_dir).groupBy("topic", "key").agg(
+        F.count(F.lit(1)).alias("mensagens"), F.min("event_id").alias("primeira"),
+        F.max("event_id").alias("ultima"),
     )
 
 
@@ -354,7 +345,7 @@ def scan_jsonl(spark, sf_dir):
     folder = new_folder(spark, "bruto")
     for records in (geographic_records(spark, sf_dir), demographic_records(spark, sf_dir)):
         files.write_jsonl_partitioned(records, folder, ORDERS_DAY)
-    lines = jsonl.scan_jsonl(spark, folder, ".txt").withColumnRenamed("fonte", "pasta")
+    lines = jsonl.scan_jsonl(spark, folder).withColumnRenamed("fonte", "pasta")
     good, _ = jsonl.parse_lines(lines, ["fonte", "codigo_ibge", "nome"])
     return good.select("pasta", "fonte", "codigo_ibge", "nome")
 
@@ -400,7 +391,7 @@ def place_messages(spark, sf_dir):
         code.cast("binary").alias("key"),
         topics.record_value(records).cast("binary").alias("value"),
         F.lit(ingest.TOPIC_OF_PLACES).alias("topic"),
-        key_partition(code, TOPIC_PARTITIONS).alias("partition"),
+        F.lit(0).alias("partition"),
         code.cast("bigint").alias("offset"),
         F.lit(ORDERS_DAY).cast("timestamp").alias("timestamp"),
     )
@@ -503,7 +494,7 @@ def bronze_places(spark, sf_dir):
 
 def _history(spark, sf_dir):
     """Event points with neighbours, through the chunked path."""
-    return silver.with_history(event_points(spark, sf_dir), _chunk(spark, sf_dir), stable=True)
+    return silver.with_history(event_points(spark, sf_dir), stable=True)
 
 
 def _with_history(columns):
@@ -584,7 +575,7 @@ def rank_events_in_group(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     order = [F.col("value").desc(), F.col("event_id").asc()]
     return ordered.row_numbers(
-        events, order, ["event_type"], "posicao", _chunk(spark, sf_dir), stable=True
+        events, order, ["event_type"], "posicao", stable=True
     )
 
 
@@ -597,7 +588,7 @@ def flagged_events(spark, sf_dir):
         "serie_nome", "data_ref", "valor", "kafka_offset",
         F.round(F.col("valor") * -1.0, 2).alias("_score"),
     )
-    return anomalies.grade(park(points, "pontos"), "_score", _chunk(spark, sf_dir)).withColumn(
+    return anomalies.grade(park(points, "pontos"), "_score").withColumn(
         "variacao_pct", F.col("valor")
     )
 
@@ -629,7 +620,7 @@ def isolation_forest(spark, sf_dir):
 def isolation_forest_events(spark, sf_dir):
     """Every event as a point: five long series, scored block by block."""
     return _columns(anomalies.detect_all(
-        event_silver(spark, sf_dir), EVENTS_DAY, _chunk(spark, sf_dir)
+        event_silver(spark, sf_dir), EVENTS_DAY
     ))
 
 

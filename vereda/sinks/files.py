@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from vereda import presets
+from vereda.session import park
 from vereda.sinks.topics import record_value
 
 
@@ -30,7 +31,7 @@ def write_jsonl_partitioned(records: DataFrame, path: str, collected_at=None) ->
     """Append records as JSON lines below fonte=/ano=/mes=/dia=/cidade=.
 
     The text writer is used because the record keeps its own ``fonte`` field; its files end
-    in ``.txt``, which ``scan_jsonl`` takes as suffix.
+    in ``.txt``, which ``scan_jsonl`` reads as well.
     """
     layout = jsonl_layout(records, collected_at)
     layout.write.mode("append").partitionBy("fonte", "ano", "mes", "dia", "cidade").text(path)
@@ -50,6 +51,15 @@ def publish_table(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def replace_results(df: DataFrame, name: str) -> bool:
+    """Replace a result table, or leave it as it is when there is nothing to put in its place."""
+    rows = park(df, "resultados")
+    if rows.isEmpty():
+        return False
+    publish_table(rows, name)
+    return True
+
+
 def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 

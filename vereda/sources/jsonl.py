@@ -6,21 +6,30 @@ from vereda import presets
 from vereda.functions.conversion import source_from_path
 
 _BROKEN = "_quebrada"
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
-def scan_jsonl(spark: SparkSession, root: str, suffix=".jsonl") -> DataFrame:
-    """One row per non-empty line of every file below ``root`` that ends in ``suffix``.
+def scan_jsonl(spark: SparkSession, root: str, suffix=("jsonl", "txt")) -> DataFrame:
+    """One row per non-empty line of every file below ``root`` with one of the suffixes.
 
-    ``arquivo`` is the path below the root and ``fonte`` the source it names.
+    ``arquivo`` is the path below the root and ``fonte`` the source it names. The sink's own
+    files end in ``.txt``. A root without matching files is an error.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true")
-        .text(root)
-        .select("value", F.col("_metadata.file_path").alias("_path"))
+    endings = [suffix] if isinstance(suffix, str) else list(suffix)
+    glob = "*.{" + ",".join(ending.lstrip(".") for ending in endings) + "}"
+    text = (
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(root)
     )
-    folder = root.split("://")[-1].removeprefix("file:").strip("/") + "/"
-    below = F.substr("_path", F.instr("_path", folder) + F.lit(len(folder)))
-    return lines.filter(F.col("value") != "").select(
+    if not text.inputFiles():
+        raise FileNotFoundError(f"no {glob} below {root}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri().getPath()
+    # File paths come as URIs: without the scheme and host, and unescaped, they begin with the root.
+    escaped = F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    whole = F.url_decode(F.regexp_replace(escaped, r"\+", "%2B"))
+    below = F.substring("_path", len(folder.rstrip("/")) + 2, 1 << 30)
+    return text.select("value", whole.alias("_path")).filter(F.col("value") != "").select(
         below.alias("arquivo"),
         source_from_path(below).alias("fonte"),
         F.col("value").alias("linha"),
@@ -28,14 +37,27 @@ def scan_jsonl(spark: SparkSession, root: str, suffix=".jsonl") -> DataFrame:
 
 
 def tag_lines(lines: DataFrame, fields=presets.KEY_FIELDS) -> DataFrame:
-    """The named text fields of every line, and whether the line is a whole JSON object."""
+    """The named text fields of every line, and whether the line is one JSON object.
+
+    The parser stops at the end of the object, so what follows is seen only with the line put
+    into an array and into an object: both are whole and the array has one element exactly
+    when the line is a single value.
+    """
     schema = ", ".join([f"{name} string" for name in fields] + [f"{_BROKEN} string"])
     record = F.from_json(
-        "linha", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+        "linha", schema, {**_STRICT, "columnNameOfCorruptRecord": _BROKEN}
+    )
+    listed = F.from_json(F.concat(F.lit("["), "linha", F.lit("]")), "array<string>", _STRICT)
+    wrapped = F.from_json(
+        F.concat(F.lit('{"valor":'), "linha", F.lit("}")), f"valor string, {_BROKEN} string",
+        {**_STRICT, "columnNameOfCorruptRecord": _BROKEN},
     )
     # Generated columns: a filter on them cannot make Spark parse the line again.
     parsed = lines.select("*", F.inline(F.array(record)))
-    whole = F.col(_BROKEN).isNull() & F.rtrim("linha").endswith("}")
+    whole = (
+        F.col(_BROKEN).isNull() & F.rtrim("linha").endswith("}")
+        & (F.size(listed) == 1) & wrapped[_BROKEN].isNull()
+    )
     return parsed.withColumn("inteira", F.coalesce(whole, F.lit(False))).drop(_BROKEN)
 
 
