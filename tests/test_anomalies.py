@@ -112,6 +112,15 @@ def test_samples_and_nodes(spark, rows, trees, most):
         assert size[1] == min(rows, most)
 
 
+def test_forest_does_not_depend_on_files(spark):
+    points, seen = cloud(spark, 2000), []
+    for files in (1, 7):
+        stored = park(points.repartition(files, FEATURES[0]))
+        nodes = forest.fit_forest(stored, "g", "k", FEATURES, 5, 16)
+        seen.append(sorted(map(tuple, nodes.collect()), key=str))
+    assert seen[0] == seen[1]
+
+
 def brute_score(frame, nodes, trees):
     """Scores by walking every tree for every row."""
     def left_over(n):

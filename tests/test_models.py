@@ -150,3 +150,10 @@ def test_quality(spark):
     assert {tuple(r) for r in quality.run_checks({"m": df}, checks).collect()} == {
         ("m", "k", "not_null", 1), ("m", "k", "unique", 1), ("m", "tendencia_3m", "accepted_values", 1)}
     assert len(quality.CHECKS) == 12
+
+
+def test_checks_bring_their_values(spark):
+    frame = spark.createDataFrame([("azul",), ("rosa",), (None,), ("cinza",)], "cor string")
+    checks = [("cores", "cor", "accepted_values", ["azul", "rosa"]), ("cores", "cor", "not_null")]
+    found = {r.regra: r.violacoes for r in quality.run_checks({"cores": frame}, checks).collect()}
+    assert found == {"accepted_values": 1, "not_null": 1}

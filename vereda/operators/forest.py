@@ -21,7 +21,6 @@ BLOCK_ROWS = 100_000
 SAMPLES_PER_TASK = 200_000
 
 EULER = 0.5772156649015329
-_PRIME = 2147483647  # sample order of tree t is (a*h + b) modulo this prime
 _ID = "_linha"
 
 
@@ -36,59 +35,51 @@ def unsuccessful_search(size: Column) -> Column:
     )
 
 
-def _tree_order(tree, digest):
-    """Sample order of a row in a tree, from one digest per row."""
-    factor = (tree.cast("bigint") * F.lit(48271 * 7919) + F.lit(104729)) % F.lit(_PRIME)
-    shift = (tree.cast("bigint") * F.lit(69621 * 6007) + F.lit(15485863)) % F.lit(_PRIME)
-    return (factor * digest + shift) % F.lit(_PRIME)
-
-
 def draw_samples(points: DataFrame, group, key, features, trees=presets.TREES,
                  max_samples=presets.MAX_SAMPLES, seed=presets.SEED) -> DataFrame:
     """``min(max_samples, rows)`` rows without replacement for each tree of each group.
 
-    Up to ``2 * trees * max_samples`` rows, every tree orders the rows of its group by a
-    hash and keeps the first. A larger group is thinned to about that many rows, each of
-    which is offered to one tree only. ``points`` has to be a stored table: the row id that
-    separates copies is its scan position.
+    Every row draws a hash for every tree, and a tree takes the rows with the smallest. Only
+    draws that can be among them become rows: at first enough for twelve deviations more than
+    wanted, so a group yields a bounded number of rows however long it is. Hashes are of the
+    row's content and a number for copies, so the file layout does not matter. ``points`` has
+    to be a stored table.
     """
-    pool = 2 * trees * max_samples
     rows = group_stats(
         points.select(group, key, *features, _ID), [group], _n=F.count(F.lit(1))
     ).withColumn("_psi", F.least("_n", F.lit(max_samples)))
-
-    small = rows.filter(F.col("_n") <= pool)
     same = Window.partitionBy(group, key).orderBy(*features, _ID)
-    name = F.concat_ws("|", F.lit(str(seed)), F.col(group), F.col(key), F.col("_copia"))
-    digest = F.conv(F.substring(F.md5(name), 1, 7), 16, 10).cast("bigint")
-    small = (
-        small.withColumn("_copia", F.row_number().over(same).cast("string"))
-        .withColumn("_digest", digest)
-        .withColumn("arvore", F.explode(F.sequence(F.lit(1), F.lit(trees))))
-        .withColumn("_ordem", _tree_order(F.col("arvore"), F.col("_digest")))
-    )
-    # Four times the wanted rows pass; fewer than wanted would need a broken hash.
-    share = F.lit(4.0) * F.col("_psi") / F.col("_n")
-    small = small.filter(F.col("_ordem") < F.least(share, F.lit(1.0)) * F.lit(float(_PRIME)))
-
-    large = rows.filter(F.col("_n") > pool)
-    drawn = F.xxhash64(F.lit(seed), F.col(group), F.col(_ID))
-    large = (
-        large.withColumn("_sorte", F.pmod(drawn, F.lit(1 << 40)) / F.lit(float(1 << 40)))
-        .filter(F.col("_sorte") < F.lit(float(pool)) / F.col("_n"))
-        .withColumn("arvore", (F.pmod(F.xxhash64(F.lit(seed + 1), _ID), F.lit(trees)) + 1).cast("int"))
-        .withColumn("_ordem", F.xxhash64(F.lit(seed + 2), _ID))
+    share = (F.col("_psi") + F.lit(12.0) * F.sqrt("_psi") + F.lit(40.0)) / F.col("_n")
+
+    def draw(tree):
+        drawn = F.xxhash64(F.lit(seed), F.col(group), F.col(key), F.col("_copia"), tree)
+        return drawn.bitwiseAND(F.lit((1 << 63) - 1))
+
+    able = F.filter(
+        F.sequence(F.lit(1), F.lit(trees)),
+        lambda tree: draw(tree).cast("double") <= F.col("_share") * F.lit(float(1 << 63)),
     )
-    columns = [group, "arvore", "_psi", "_ordem", _ID, *features]
-    by_tree = Window.partitionBy(group, "arvore").orderBy("_ordem", _ID)
+    by_tree = Window.partitionBy(group, "arvore").orderBy("_ordem", key, "_copia")
     return (
-        small.select(*columns).unionByName(large.select(*columns))
+        rows.withColumn("_copia", F.row_number().over(same))
+        .withColumn("_share", F.least(share, F.lit(1.0)))
+        .withColumn("arvore", F.explode(able))
+        .withColumn("_ordem", draw(F.col("arvore")))
         .withColumn("_vez", F.row_number().over(by_tree))
         .filter(F.col("_vez") <= max_samples)
-        .drop("_vez", "_ordem", _ID)
+        .select(group, "arvore", "_psi", *features)
     )
 
 
+def check_samples(samples: DataFrame, group) -> None:
+    """Raise if a tree has fewer rows than it is to have, which needs a broken hash."""
+    short = samples.groupBy(group, "arvore").agg(
+        F.count(F.lit(1)).alias("_got"), F.max("_psi").alias("_wanted")
+    ).filter("_got < _wanted")
+    if not short.isEmpty():
+        raise RuntimeError("a tree drew too few rows")
+
+
 def grow_forest(samples: DataFrame, group, features, max_samples=presets.MAX_SAMPLES,
                 seed=presets.SEED, tasks=None) -> DataFrame:
     """Nodes of all trees: (group, arvore, no, variavel, corte, linhas, nivel, amostra).
@@ -168,6 +159,7 @@ def fit_forest(points: DataFrame, group, key, features, trees=presets.TREES,
     samples = park(
         draw_samples(numbered, group, key, features, trees, max_samples, seed), "samples"
     )
+    check_samples(samples, group)
     largest = min(max_samples, largest_group(points, [group]))
     cores = points.sparkSession.sparkContext.defaultParallelism
     tasks = max(cores, math.ceil(samples.count() / SAMPLES_PER_TASK))

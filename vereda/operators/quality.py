@@ -48,7 +48,8 @@ def run_checks(models, checks=None) -> DataFrame:
     """Number of violations of every declared check, one row each.
 
     ``models`` maps a model name to its DataFrame. All null and value checks of a model are
-    counted in one pass; each uniqueness check groups by its column.
+    counted in one pass; each uniqueness check groups by its column. An accepted-values check
+    brings its list, else it is that of the trends.
     """
     checks = checks or CHECKS
     results = []
@@ -65,7 +66,7 @@ def run_checks(models, checks=None) -> DataFrame:
             value = F.col(column)
             violations = (
                 F.count_if(value.isNull()) if check == "not_null"
-                else F.count_distinct(F.when(~value.isin(list(values[0])), value))
+                else F.count_distinct(F.when(~value.isin(list(values[0] if values else TRENDS)), value))
             )
             counted.append(F.struct(
                 F.lit(column).alias("coluna"), F.lit(check).alias("regra"),
