@@ -73,3 +73,12 @@ def test_shared_folder_is_required_on_a_cluster():
         session.shared_folder(Session)
     Session.conf["spark.checkpoint.dir"] = "hdfs://nn/shared/"
     assert session.shared_folder(Session) == "hdfs://nn/shared"
+
+
+def test_results_stay_when_a_run_is_empty(spark):
+    rows = spark.range(3).selectExpr("id AS valor")
+    assert files.replace_results(rows, "resultados_de_teste")
+    assert not files.replace_results(rows.limit(0), "resultados_de_teste")
+    assert spark.table("resultados_de_teste").count() == 3
+    assert files.replace_results(rows.limit(1), "resultados_de_teste")
+    assert spark.table("resultados_de_teste").count() == 1
