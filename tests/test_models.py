@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vereda.operators import grouping, quality
-from vereda.plans import gold, silver
+from vereda.plans import gold, serve, silver
 
 DAY = datetime.date(2024, 6, 30)
 
@@ -157,3 +157,14 @@ def test_checks_bring_their_values(spark):
     checks = [("cores", "cor", "accepted_values", ["azul", "rosa"]), ("cores", "cor", "not_null")]
     found = {r.regra: r.violacoes for r in quality.run_checks({"cores": frame}, checks).collect()}
     assert found == {"accepted_values": 1, "not_null": 1}
+
+
+def test_points_of_one_date(spark):
+    """The last message of the last date counts, not the largest value; same in every read."""
+    rows = [("SELIC", "2024-01-01", 9.0, 0), ("SELIC", "2024-02-01", 8.0, 1),
+            ("SELIC", "2024-02-01", 3.0, 2)]
+    indicators = silver.silver_indicators(bronze(spark, rows), DAY)
+    last = gold.gold_panorama(indicators, DAY).first()
+    assert (last.ultimo_valor, last.acumulado_ano) == (3.0, 20.0)
+    assert (serve.latest_value(indicators, "selic").first().valor) == 3.0
+    assert [r.valor for r in serve.series_history(indicators, "selic").collect()] == [9.0, 8.0, 3.0]

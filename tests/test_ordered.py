@@ -1,5 +1,7 @@
 """The chunked path against the plain windows and against pandas."""
 
+import datetime
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from vereda.operators import ordered
+from vereda.plans import silver
 
 
 @pytest.fixture(scope="module")
@@ -74,17 +77,34 @@ def test_percent_ranks(spark, values):
     known = [(v is None, v) for v in values]
     ranks = [sum(other < one for other in known) for one in known]
     wanted = {i: rank / (len(values) - 1) if len(values) > 1 else 0.0 for i, rank in enumerate(ranks)}
-    for ranked in (ordered.percent_ranks(df, "v"), ordered.percent_ranks_of_bands(df, "v")):
+    for ranked in (ordered.percent_ranks(df, "v"), ordered.percent_ranks(df, "v", rows_per_task=1)):
         assert {r.i: r.percentil for r in ranked.collect()} == wanted
 
 
-def test_too_many_bands_take_the_general_way(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "MOST_BANDS", 3)
+def test_percent_ranks_of_many_values(spark):
     df = spark.range(11).withColumn("v", F.col("id"))
-    ranked = ordered.percent_ranks_of_bands(df, "v")
+    ranked = ordered.percent_ranks(df, "v", rows_per_task=3)
     assert {r.id: r.percentil for r in ranked.collect()} == {i: i / 10 for i in range(11)}
 
 
+def test_a_chunk_is_a_task(spark):
+    """However the chunks hash, no task of the windows gets more than a chunk and its halo."""
+    placed = ordered.place_rows(spark.range(1000).withColumn("g", F.lit(1)), [F.col("id")])
+    cut = ordered.chunked_windows(placed, ["g"], {"p": ("id", 2)}, rows_per_task=100)
+    sizes = cut.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10 and {r["count"] for r in sizes} == {100}
+
+
+def test_last_row_of_a_value(spark):
+    values = [1, 1, 1, 1, 2, 3, 3, 3, 3, 3, 3, None, None, 4]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v int")
+    for size in (1, 2, 3, 5, 100):
+        placed = ordered.place_rows(df, [F.col("v").asc_nulls_last()])
+        found = ordered.chunked_windows(placed, [], lasts={"u": "v"}, rows_per_task=size).collect()
+        assert {(r.v, r.u) for r in found} == {(1, 4), (2, 5), (3, 11), (4, 12), (None, 14)}
+        assert len(found) == len(values)
+
+
 def test_hot_key_join_is_split(spark):
     """With no broadcast possible, the join back to group statistics splits a hot key."""
     settings_ = {
@@ -107,10 +127,9 @@ def test_hot_key_join_is_split(spark):
             spark.conf.set(name, value)
 
 
-@pytest.mark.parametrize("size", [1, 10_000])
-def test_group_quantile(spark, points, size):
+def test_group_quantile(spark, points):
     df = spark.createDataFrame(points)
-    found = {r.g: r.limite for r in ordered.group_quantile(df, ["g"], "x", 0.05, rows_per_task=size).collect()}
+    found = {r.g: r.limite for r in ordered.group_quantile(df, ["g"], "x", 0.05).collect()}
     wanted = points.groupby("g")["x"].quantile(0.05)
     assert found.keys() == set(wanted.index)
     for group, value in wanted.items():
@@ -132,3 +151,17 @@ def test_any_chunk_size(spark, rows, size):
     arguments = (["g"], [F.col("at")], {"p": ("x", 2)}, {"s": ("x", [])})
     assert collected(ordered.ordered_windows(df, *arguments, size)) == collected(
         ordered.ordered_windows(df, *arguments))
+
+
+def test_sums_of_decimals_do_not_depend_on_the_cuts(spark):
+    """Same bits for any chunk size and layout, and the border value exactly on the border."""
+    values = [0.1, 0.7, 1.1, 2.6, -0.3, 0.2, 0.1] * 12
+    df = spark.createDataFrame(
+        [("IPCA", 2024, datetime.date(2024, 1, 1) + datetime.timedelta(i), v)
+         for i, v in enumerate(values)],
+        "serie_nome string, ano int, data_ref date, valor double")
+    wanted = np.cumsum([round(v * 10) for v in values]) / 10
+    for size, files in ((1_000_000, 1), (1_000_000, 7), (5, 3), (16, 2)):
+        found = silver.with_history(df.repartition(files), size).orderBy("data_ref").collect()
+        assert [row.soma_ano for row in found] == list(wanted)
+        assert [row.ordem for row in found] == list(range(1, len(values) + 1))

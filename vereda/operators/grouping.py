@@ -36,14 +36,17 @@ def top_per_group(df: DataFrame, group, order, count) -> DataFrame:
 
 
 def _mean_4(value):
-    """Mean rounded to four digits; whole ten-thousandths are summed as integers, so that a
-    half-way mean does not depend on the order of the sum."""
-    units = F.round(value * F.lit(1e4)).try_cast("bigint")
-    whole = F.count(F.when(units / F.lit(1e4) == value, F.lit(1))) == F.count(value)
-    total = F.try_sum(units).cast("decimal(20,0)")
-    exact = F.round(F.try_divide(total, F.count(value).cast("decimal(20,0)")), 0)
-    rounded = F.round(F.avg(value), 4)
-    return F.coalesce(F.when(whole, exact.cast("double") / F.lit(1e4)), rounded)
+    """Mean of values of four digits, rounded to four, half away from zero.
+
+    The sum is exact, so a half-way mean does not depend on its order. Values that have no
+    place in 38 digits, infinities among them, leave the plain mean.
+    """
+    units = F.round(F.round(value, 4) * F.lit(1e4)).try_cast("decimal(38,0)")
+    total, count = F.try_sum(units), F.count(value)
+    twice = F.abs(total) * F.lit(2).cast("decimal(1,0)") + count.cast("decimal(20,0)")
+    whole = F.floor(F.try_divide(twice, (count * 2).cast("decimal(20,0)"))).cast("double")
+    exact = F.when(F.count(units) == count, F.sign(total) * whole / F.lit(1e4))
+    return F.coalesce(exact, F.round(F.avg(value), 4))
 
 
 def annual_summary(indicators: DataFrame) -> DataFrame:

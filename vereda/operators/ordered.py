@@ -1,28 +1,23 @@
 """Lags, running sums, row numbers, ranks and quantiles that survive a hot group.
 
-A window partitioned by the group is the cheap plan, and it is used while the largest
-group, which is counted first, fits in one task. Beyond that the rows are put in total
-order once (``place_rows``) and cut into equal chunks of consecutive rows, so no task sees
-more than a chunk however the keys are spread. What a chunk needs from the ones before it
-is a few neighbouring rows or one subtotal per group.
+All of them take one way, whatever the size of the input or of a group. The rows are put in
+total order once (``place_rows``) and cut into chunks of consecutive rows. Each chunk is one
+task, so no task sees more than a chunk and the rows before it that the windows look back on,
+however the keys are spread. What a chunk needs from the ones before it is a few neighbouring
+rows or one subtotal per group. Sums of whole numbers and decimals do not depend on the cuts.
 """
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vereda.session import park
 
-ROWS_PER_TASK = 4_000_000
-MOST_BANDS = 10_000
+ROWS_PER_TASK = 1_000_000
 
 _TASK_BITS = 33  # monotonically_increasing_id keeps the row number of a task in the low bits
 
 
-def largest_group(df: DataFrame, keys) -> int:
-    """Rows in the largest group."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.agg(F.max("_rows")).first()[0] or 0
-
-
 def place_rows(df: DataFrame, order, stable=False, row="_row", total="_total") -> DataFrame:
     """Number all rows 1..N by ``order``, and attach N, without a one-task sort.
 
@@ -32,10 +27,14 @@ def place_rows(df: DataFrame, order, stable=False, row="_row", total="_total") -
     files with row-wise steps and broadcast joins only; it is then not copied first.
     """
     stored = df if stable else park(df, "unplaced")
+    ranges = max(
+        df.sparkSession.sparkContext.defaultParallelism,
+        math.ceil(stored.count() / ROWS_PER_TASK),
+    )
     stored = stored.withColumn("_tie", F.monotonically_increasing_id())
     keys = [*order, F.col("_tie")]
     placed = park(
-        stored.repartitionByRange(*keys)
+        stored.repartitionByRange(ranges, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
         .drop("_tie"),
@@ -62,14 +61,21 @@ def place_rows(df: DataFrame, order, stable=False, row="_row", total="_total") -
     )
 
 
-def chunked_windows(placed: DataFrame, group, lags=None, running=None,
+def _rows_of(placed, total="_total"):
+    """Number of placed rows, which each of them carries."""
+    row = placed.select(total).first()
+    return row[0] if row else 0
+
+
+def chunked_windows(placed: DataFrame, group, lags=None, running=None, lasts=None,
                     rows_per_task=ROWS_PER_TASK, row="_row") -> DataFrame:
     """Lags and running sums by ``group`` over placed rows, chunk by chunk.
 
     ``lags`` maps a new column to (column, distance) and needs the group to lead the placed
-    order; ``running`` maps a new column to (column, extra group columns) and does not.
+    order; ``running`` maps a new column to (column, extra group columns) and does not;
+    ``lasts`` maps one to a column that leads the order, and gives the last row of its value.
     """
-    lags, running = lags or {}, running or {}
+    lags, running, lasts = lags or {}, running or {}, lasts or {}
     columns = placed.columns
     halo = max([distance for _, distance in lags.values()], default=0)
     size = max(rows_per_task, halo + 1)
@@ -80,7 +86,8 @@ def chunked_windows(placed: DataFrame, group, lags=None, running=None,
         spread = placed.withColumn("_chunk", F.explode(chunks))
     else:
         spread = placed.withColumn("_chunk", F.col("_own"))
-    spread = spread.repartition("_chunk")
+    # A chunk is a task; the last one passes its neighbouring rows on to an empty one.
+    spread = spread.repartitionById(_rows_of(placed) // size + 2, F.col("_chunk").cast("int"))
 
     mine = F.col("_chunk") == F.col("_own")
     in_chunk = Window.partitionBy("_chunk", *group).orderBy(row)
@@ -93,8 +100,24 @@ def chunked_windows(placed: DataFrame, group, lags=None, running=None,
             Window.unboundedPreceding, Window.currentRow
         )
         result = result.withColumn(name, F.sum(F.when(mine, F.col(column))).over(so_far))
+    for name, column in lasts.items():
+        in_chunk = Window.partitionBy("_chunk", column)
+        result = result.withColumn(name, F.max(F.when(mine, F.col(row))).over(in_chunk))
     result = result.filter(mine)
 
+    for name, column in lasts.items():
+        # A value that goes on into later chunks is the first of each: one row a chunk.
+        firsts = placed.groupBy(F.col("_own").alias("_in")).agg(
+            F.min_by(F.struct(F.col(column).alias("value")), row).alias("_first")
+        )
+        goes_on = placed.join(
+            F.broadcast(firsts),
+            (F.col("_own") == F.col("_in")) & F.col(column).eqNullSafe(F.col("_first.value")),
+        ).groupBy(F.col(column).alias("_value")).agg(F.max(row).alias("_last"))
+        result = (
+            result.join(F.broadcast(goes_on), F.col(column).eqNullSafe(F.col("_value")), "left")
+            .withColumn(name, F.greatest(name, "_last")).drop("_value", "_last")
+        )
     for name, (column, within) in running.items():
         keys = [*group, *within]
         before = Window.partitionBy(*[f"_by_{key}" for key in keys]).orderBy("_by_chunk").rowsBetween(
@@ -117,31 +140,22 @@ def chunked_windows(placed: DataFrame, group, lags=None, running=None,
             .withColumn(name, F.coalesce(F.col(name) + F.col("_carry"), name, "_carry"))
             .drop("_carry", "_by_chunk", *[f"_by_{key}" for key in keys])
         )
-    return result.select(*columns, *lags, *running)
+    return result.select(*columns, *lags, *running, *lasts)
 
 
 def ordered_windows(df: DataFrame, group, order, lags=None, running=None,
-                    rows_per_task=ROWS_PER_TASK, stable=False) -> DataFrame:
+                    rows_per_task=ROWS_PER_TASK, stable=False, place=None) -> DataFrame:
     """Lags and running sums by ``group`` in ``order``; see ``chunked_windows``.
 
     ``order`` has to tell rows of a group apart for the result to be the same every time.
-    ``stable`` is explained at ``place_rows``.
+    ``stable`` is explained at ``place_rows``; ``place`` names a column for the row's number
+    by group and order.
     """
-    lags, running = lags or {}, running or {}
-    if largest_group(df, group) > rows_per_task:
-        placed = place_rows(df, [*map(F.col, group), *order], stable)
-        windows = chunked_windows(placed, group, lags, running, rows_per_task)
-        return windows.drop("_row", "_total")
-    by_group = Window.partitionBy(*group).orderBy(*order)
-    columns = {
-        name: F.lag(column, distance).over(by_group) for name, (column, distance) in lags.items()
-    }
-    for name, (column, within) in running.items():
-        so_far = Window.partitionBy(*group, *within).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        columns[name] = F.sum(column).over(so_far)
-    return df.withColumns(columns)
+    placed = place_rows(df, [*map(F.col, group), *order], stable)
+    windows = chunked_windows(placed, group, lags, running, rows_per_task=rows_per_task)
+    if place:
+        windows = windows.withColumn(place, F.col("_row"))
+    return windows.drop("_row", "_total")
 
 
 def row_numbers(df: DataFrame, order, group=(), column="posicao",
@@ -158,54 +172,37 @@ def row_numbers(df: DataFrame, order, group=(), column="posicao",
     return numbered.drop("_one")
 
 
-def percent_ranks(df: DataFrame, value, column="percentil", stable=False) -> DataFrame:
-    """``(rank - 1) / (rows - 1)`` by ``value`` over everything, 0 for a single row."""
-    placed = place_rows(df, [F.col(value).asc_nulls_last()], stable)
-    first = placed.groupBy(F.col(value).alias("_value")).agg(
-        F.min("_row").alias("_rank"), F.max("_total").alias("_of")
-    )
-    rows = placed.drop("_row", "_total")
-    share = F.coalesce(
-        F.try_divide((F.col("_rank") - 1).cast("double"), (F.col("_of") - 1).cast("double")),
-        F.lit(0.0),
-    )
-    return (
-        rows.join(first, rows[value].eqNullSafe(first["_value"]))
-        .withColumn(column, share)
-        .drop("_value", "_rank", "_of")
-    )
-
-
-def percent_ranks_of_bands(df: DataFrame, value, column="percentil", counted=None) -> DataFrame:
-    """``percent_ranks`` for a column with few values, such as a score.
+def percent_ranks(df: DataFrame, value, column="percentil", counted=None,
+                  rows_per_task=ROWS_PER_TASK) -> DataFrame:
+    """``(rank - 1) / (rows - 1)`` by ``value`` over everything, 0 for a single row, nulls last.
 
-    One row per value is ordered and broadcast; the rows themselves are not moved. A column
-    that turns out to have more than ``MOST_BANDS`` values takes the general way. The values
-    are counted in ``counted``, a cheaper frame with the same rows, where there is one.
+    Rows are counted by value in the tasks, the values are put in order, and the share of
+    smaller rows is joined back; adaptive execution broadcasts few values and splits a
+    frequent one of many. The values are counted in ``counted``, a cheaper frame with the
+    same rows, where there is one.
     """
     source = df if counted is None else counted
-    if source.select(value).distinct().limit(MOST_BANDS + 1).count() > MOST_BANDS:
-        return percent_ranks(df, value, column)
-    bands = source.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
-    by_value = Window.orderBy(F.col("_value").asc_nulls_last())
-    below = F.sum("_rows").over(by_value.rowsBetween(Window.unboundedPreceding, -1))
-    of = F.sum("_rows").over(
-        by_value.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
+    counts = source.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    placed = place_rows(counts, [F.col("_value").asc_nulls_last()])
+    so_far = park(chunked_windows(
+        placed, [], running={"_upto": ("_rows", [])}, rows_per_task=rows_per_task
+    ), "ranks")
+    last = so_far.agg(F.max("_upto").alias("_of"))
     share = F.coalesce(
-        F.try_divide(F.coalesce(below, F.lit(0)).cast("double"), (of - 1).cast("double")),
+        F.try_divide((F.col("_upto") - F.col("_rows")).cast("double"), (F.col("_of") - 1).cast("double")),
         F.lit(0.0),
     )
-    ranked = bands.select("_value", share.alias(column))
-    return df.join(F.broadcast(ranked), df[value].eqNullSafe(ranked["_value"])).drop("_value")
+    # ``last`` is one row by construction.
+    ranked = so_far.join(F.broadcast(last), F.col("_of").isNotNull()).select(
+        "_value", share.alias(column)
+    )
+    return df.join(ranked, df[value].eqNullSafe(ranked["_value"])).drop("_value")
 
 
 def group_quantile(df: DataFrame, group, value, share, column="limite",
-                   rows_per_task=ROWS_PER_TASK, stable=False) -> DataFrame:
+                   stable=False) -> DataFrame:
     """Exact, linearly interpolated quantile of ``value`` by group, nulls left out."""
     known = df.filter(F.col(value).isNotNull()).select(*group, value)
-    if largest_group(known, group) <= rows_per_task:
-        return known.groupBy(*group).agg(F.percentile(value, F.lit(share)).alias(column))
     placed = place_rows(known, [*map(F.col, group), F.col(value)], stable)
     spans = placed.groupBy(*group).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows")

@@ -6,9 +6,10 @@ from vereda import presets
 from vereda.functions import labels
 from vereda.operators.forest import fit_forest, score_forest
 from vereda.operators.grouping import top_per_group
-from vereda.operators.ordered import ROWS_PER_TASK, group_quantile, group_stats
+from vereda.operators.ordered import group_quantile, group_stats
 from vereda.plans.silver import enough_history, stamp
 from vereda.session import park
+from vereda.sinks import files
 
 SERIES = "serie_nome"
 
@@ -64,23 +65,22 @@ def minmax_100(points: DataFrame, score, column="anomalia_score_norm") -> DataFr
 
 
 def contamination_threshold(points: DataFrame, score, share=presets.CONTAMINATION,
-                            column="anomalia", rows_per_task=ROWS_PER_TASK,
-                            stable=False) -> DataFrame:
+                            column="anomalia", stable=False) -> DataFrame:
     """Flag scores strictly below the ``share`` quantile of their series."""
-    limits = group_quantile(
-        points, [SERIES], score, share, "_limite", rows_per_task, stable
-    ).select(F.col(SERIES).alias("_serie"), "_limite")
+    limits = group_quantile(points, [SERIES], score, share, "_limite", stable).select(
+        F.col(SERIES).alias("_serie"), "_limite"
+    )
     joined = points.join(limits, F.col(SERIES).eqNullSafe(F.col("_serie")), "left")
     flag = F.coalesce(F.col(score) < F.col("_limite"), F.lit(False))
     return joined.withColumn(column, flag).drop("_serie", "_limite")
 
 
-def grade(scored: DataFrame, score, rows_per_task=ROWS_PER_TASK) -> DataFrame:
+def grade(scored: DataFrame, score) -> DataFrame:
     """Flag, rounded score, 0-100 score and severity of scored points.
 
     ``scored`` has to be stored: it is read several times.
     """
-    flagged = contamination_threshold(scored, score, rows_per_task=rows_per_task, stable=True)
+    flagged = contamination_threshold(scored, score, stable=True)
     scaled = minmax_100(flagged, score)
     return scaled.withColumns({
         "anomalia_score": F.bround(F.col(score), 4),
@@ -104,15 +104,37 @@ def score_series(indicators: DataFrame, trees=presets.TREES, max_samples=presets
     return scored.drop(*features), forest
 
 
-def detect_all(indicators: DataFrame, as_of=None, rows_per_task=ROWS_PER_TASK,
-               **options) -> DataFrame:
+def detect_all(indicators: DataFrame, as_of=None, **options) -> DataFrame:
     """Graded points of every series with enough history; no rows if none has."""
     scored, _ = score_series(indicators, **options)
-    return grade(scored, "_score", rows_per_task).select(
+    return grade(scored, "_score").select(
         *RESULT_COLUMNS, stamp(as_of).alias("detectado_em")
     )
 
 
+def run_job(indicators: DataFrame, table, models_path, report_path, as_of=None, table_path=None,
+            **options) -> bool:
+    """Detect, then replace the result table, the stored forests and the report.
+
+    If no series has enough history, nothing is written, the old ones stay, and the answer
+    is False.
+    """
+    scored, forest = score_series(indicators, **options)
+    results = grade(scored, "_score").select(*RESULT_COLUMNS, stamp(as_of).alias("detectado_em"))
+    if not files.replace_results(results, table, table_path):
+        return False
+    files.persist_forest(forest, models_path)
+    write_summary(indicators.sparkSession.table(table), report_path, as_of)
+    return True
+
+
+def write_summary(anomalies: DataFrame, path, as_of=None) -> None:
+    """The report as JSON: totals below ``totais``, one object per series below ``por_serie``."""
+    totals = report_totals(anomalies).withColumn("gerado_em", stamp(as_of))
+    files.write_report(totals, f"{path}/totais")
+    files.write_report(report_by_series(anomalies), f"{path}/por_serie")
+
+
 def top_anomalies(anomalies: DataFrame, count=3) -> DataFrame:
     """The oddest anomalous points of each series, numbered from 1."""
     order = [F.col("anomalia_score"), F.col("data_ref"), F.col("valor")]
@@ -159,7 +181,7 @@ def report_by_series(anomalies: DataFrame) -> DataFrame:
 
 
 def anomaly_report(anomalies: DataFrame, as_of=None) -> DataFrame:
-    """The summary document: one row with totals and an entry per series."""
+    """The summary as one document, for a few series; ``write_summary`` is for any number."""
     entry = F.struct("total", "anomalias", "pct", "top_anomalias")
     by_series = report_by_series(anomalies).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct(SERIES, entry.alias("resumo")))))

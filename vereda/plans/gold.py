@@ -5,19 +5,13 @@ from pyspark.sql import DataFrame, functions as F
 from vereda import presets
 from vereda.functions import labels
 from vereda.operators.grouping import annual_summary, latest_per_key
-from vereda.operators.ordered import (
-    ROWS_PER_TASK,
-    chunked_windows,
-    percent_ranks_of_bands,
-    place_rows,
-)
-from vereda.plans.silver import stamp
+from vereda.operators.ordered import ROWS_PER_TASK, chunked_windows, percent_ranks, place_rows
+from vereda.plans.silver import by_time, stamp
 
 
 def latest_indicators(indicators: DataFrame) -> DataFrame:
     """Latest point of each series under its panorama names."""
-    order = ["data_ref", "valor", "variacao_pct"]
-    return latest_per_key(indicators, ["serie_nome"], order).select(
+    return latest_per_key(indicators, ["serie_nome"], by_time(indicators)).select(
         "serie_nome", "serie_codigo", "categoria", "unidade",
         F.col("data_ref").alias("ultima_data"),
         F.col("valor").alias("ultimo_valor"),
@@ -56,22 +50,18 @@ def gold_ranking(places: DataFrame, as_of=None, value_weight=presets.VALUE_WEIGH
     known = places.filter(F.col("populacao").isNotNull())
     order = [F.col("populacao").desc(), F.col("codigo_ibge").asc()]
     placed = place_rows(known, order, stable)
-    numbered = chunked_windows(
+    ranked = chunked_windows(
         placed.withColumn("_one", F.lit(1).cast("bigint")), ["regiao"],
-        running={"ranking_na_regiao": ("_one", [])}, rows_per_task=rows_per_task,
+        running={"ranking_na_regiao": ("_one", [])}, lasts={"_ultima": "populacao"},
+        rows_per_task=rows_per_task,
     )
-    # Rows after the last row of a value are the smaller ones.
-    shares = placed.groupBy(F.col("populacao").alias("_populacao")).agg(
-        F.coalesce(
-            F.try_divide(
-                (F.max("_total") - F.max("_row")).cast("double"),
-                (F.max("_total") - 1).cast("double"),
-            ),
-            F.lit(0.0),
-        ).alias("_por_valor")
+    # Rows after the last row of a population are the smaller ones.
+    smaller = (F.col("_total") - F.col("_ultima")).cast("double")
+    others = (F.col("_total") - 1).cast("double")
+    ranked = ranked.withColumn(
+        "_por_valor", F.coalesce(F.try_divide(smaller, others), F.lit(0.0))
     )
-    ranked = numbered.join(shares, F.col("populacao") == F.col("_populacao"))
-    ranked = percent_ranks_of_bands(ranked, "score_relevancia", "_por_score", placed)
+    ranked = percent_ranks(ranked, "score_relevancia", "_por_score", placed)
     composite = labels.composite_score(
         F.col("_por_valor"), F.col("_por_score"), value_weight, score_weight
     )

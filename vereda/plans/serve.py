@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vereda import presets
 from vereda.errors import LimitExceeded, NotFound, NotReady
+from vereda.plans.silver import by_time
 
 # Columns of the results.
 PANORAMA_COLUMNS = [
@@ -67,14 +68,16 @@ def series_history(indicators: DataFrame, name, year_from=None, year_to=None) ->
     """Points of one series by date."""
     _require_series(indicators, name)
     points = indicators.filter(ci_equals("serie_nome", name))
-    return year_range(points, year_from, year_to).select(*POINT_COLUMNS).orderBy("data_ref")
+    order = by_time(points)
+    return year_range(points, year_from, year_to).orderBy(*order).select(*POINT_COLUMNS)
 
 
 def latest_value(indicators: DataFrame, name) -> DataFrame:
-    """Latest point of one series."""
+    """Latest point of one series: of its last date, the last message."""
     _require_series(indicators, name)
-    points = indicators.filter(ci_equals("serie_nome", name)).select(*POINT_COLUMNS)
-    return points.orderBy(F.col("data_ref").desc_nulls_last()).limit(1)
+    points = indicators.filter(ci_equals("serie_nome", name))
+    order = [F.col(column).desc_nulls_last() for column in by_time(points)]
+    return points.orderBy(*order).limit(1).select(*POINT_COLUMNS)
 
 
 def place_ranking(ranking: DataFrame, region=None, state=None,

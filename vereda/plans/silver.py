@@ -21,20 +21,27 @@ def point_order(points: DataFrame):
 
 
 def with_history(points: DataFrame, rows_per_task=ROWS_PER_TASK, stable=False) -> DataFrame:
-    """Two previous values of each point and the running sum of its year."""
-    return ordered_windows(
-        points, ["serie_nome"], point_order(points),
+    """Two previous values of each point, the running sum of its year, and its place.
+
+    The sum is exact in 18 decimal digits, so it is the same however the rows are cut.
+    ``ordem`` numbers all points by series, date and message.
+    """
+    exact = points.withColumn("_exato", F.col("valor").cast("decimal(38,18)"))
+    history = ordered_windows(
+        exact, ["serie_nome"], point_order(points),
         lags={"valor_anterior": ("valor", 1), "valor_antes": ("valor", 2)},
-        running={"soma_ano": ("valor", ["ano"])},
-        rows_per_task=rows_per_task, stable=stable,
+        running={"soma_ano": ("_exato", ["ano"])},
+        rows_per_task=rows_per_task, stable=stable, place="ordem",
     )
+    return history.drop("_exato").withColumn("soma_ano", F.col("soma_ano").cast("double"))
 
 
 def silver_indicators(bronze: DataFrame, as_of=None, rows_per_task=ROWS_PER_TASK,
                       stable=False) -> DataFrame:
     """One row per point with changes, year-to-date sum, trend and target flag.
 
-    Changes and the flag come from unrounded values; ``valor`` itself is rounded last. Set
+    Changes and the flag come from unrounded values; ``valor`` itself is rounded last.
+    ``ordem`` tells points of one date apart: the later message has the greater one. Set
     ``stable`` when ``bronze`` is read from lake files and not computed by a shuffle.
     """
     dated = bronze.filter(F.col("data_ref").isNotNull())
@@ -50,10 +57,16 @@ def silver_indicators(bronze: DataFrame, as_of=None, rows_per_task=ROWS_PER_TASK
         labels.above_target_flag(F.col("serie_nome"), F.col("soma_ano")).alias(
             "acima_meta_inflacao"
         ),
+        "ordem",
         stamp(as_of).alias("processado_em"),
     )
 
 
+def by_time(indicators: DataFrame):
+    """Columns that order the points of a series, the last message of a date last."""
+    return [name for name in ("data_ref", "ordem") if name in indicators.columns]
+
+
 def split_by_kind(bronze: DataFrame):
     """Geographic and demographic records of the places table."""
     geographic = bronze.filter((F.col("fonte") == "ibge") & F.col("uf").isNotNull())

@@ -2,7 +2,7 @@
 from the whole test tables.
 
 Orders give monthly series, events give daily series and single points, line items give one
-short series per part, customers are places and their urgent orders the population. All
+short series per part, customers are places and their orders the population. All
 groups that are collected into one payload are pages of a fixed size.
 """
 
@@ -143,7 +143,7 @@ def event_silver(spark, sf_dir):
 
 
 def _columns(df, *drop):
-    return df.drop("processado_em", "atualizado_em", "detectado_em", *drop)
+    return df.drop("processado_em", "atualizado_em", "detectado_em", "ordem", *drop)
 
 
 # Places
@@ -544,14 +544,14 @@ def percentile_by_value(spark, sf_dir):
 
 
 def percentile_by_score(spark, sf_dir):
-    ranked = ordered.percent_ranks_of_bands(_known(spark, sf_dir), "score_relevancia")
+    ranked = ordered.percent_ranks(_known(spark, sf_dir), "score_relevancia")
     return ranked.select("codigo_ibge", F.round(F.col("percentil") * 100.0, 4).alias("percentil"))
 
 
 def percentile_of_events(spark, sf_dir):
     """Percent rank of every event value; values repeat."""
     events = table(spark, sf_dir, "events").select("event_id", "value")
-    ranked = ordered.percent_ranks(events, "value", stable=True)
+    ranked = ordered.percent_ranks(events, "value")
     return ranked.select("event_id", F.round(F.col("percentil") * 100.0, 4).alias("percentil"))
 
 
@@ -631,13 +631,76 @@ def isolation_forest_parts(spark, sf_dir):
 
 
 def anomaly_report(spark, sf_dir):
-    """The entries of the report document, one row per series."""
-    document = anomalies.anomaly_report(park(flagged_months(spark, sf_dir), "notas"), ORDERS_DAY)
-    entries = document.select(F.explode("por_serie").alias("serie_nome", "r"))
-    top = F.transform("r.top_anomalias", lambda t: F.concat_ws(
+    """The entries of the written report, one row per series."""
+    folder, graded = new_folder(spark, "relatorio"), park(flagged_months(spark, sf_dir), "notas")
+    anomalies.write_summary(graded, folder, ORDERS_DAY)
+    layout = anomalies.report_by_series(graded).schema
+    entries = spark.read.schema(layout).json(f"{folder}/por_serie")
+    top = F.transform("top_anomalias", lambda t: F.concat_ws(
         " ", F.date_format(t["data_ref"], "yyyy-MM-dd"), t["severidade"]))
     return entries.select(
-        "serie_nome", "r.total", "r.anomalias", "r.pct", F.concat_ws(", ", top).alias("topo")
+        "serie_nome", "total", "anomalias", "pct", F.concat_ws(", ", top).alias("topo")
+    )
+
+
+# Tables and views
+
+
+def anomaly_job(spark, sf_dir):
+    """The whole job, and once more without enough history, which leaves the results alone."""
+    months, name = monthly_table(spark, sf_dir), "ml_anomalias_dos_meses"
+    folders = [new_folder(spark, label) for label in ("modelos", "relatorio")]
+    place = new_folder(spark, "resultados")
+    anomalies.run_job(months, name, *folders, ORDERS_DAY, place)
+    anomalies.run_job(months.filter("mes = 1"), name, *folders, ORDERS_DAY, place)
+    return _columns(serve.anomaly_table(spark, name))
+
+
+def persist_model(spark, sf_dir):
+    """Trees and sample of every forest that was stored and loaded again."""
+    folder = new_folder(spark, "modelos")
+    _, forest = anomalies.score_series(monthly_table(spark, sf_dir), trees=10)
+    files.persist_forest(forest, folder)
+    return files.load_forest(spark, folder).groupBy("serie_nome").agg(
+        F.count_distinct("arvore").alias("arvores"),
+        F.max("amostra").cast("bigint").alias("amostra"),
+    )
+
+
+def publish_table(spark, sf_dir):
+    """The silver model as a partitioned table, read by its name."""
+    months = _columns(monthly_silver(spark, sf_dir))
+    place = new_folder(spark, "tabela")
+    return files.publish_table(months, "silver_dos_meses", ["categoria"], place)
+
+
+def publish_view(spark, sf_dir):
+    points = event_points(spark, sf_dir).select("kafka_offset", "serie_nome", "valor")
+    return files.publish_view(points, "pontos_de_eventos")
+
+
+def stamp_processed(spark, sf_dir):
+    """Places with the processing time that the caller fixed."""
+    stamped = F.date_format("processado_em", "yyyy-MM-dd HH:mm:ss")
+    return places_model(spark, sf_dir).select("codigo_ibge", stamped.alias("processado_em"))
+
+
+def latest_event_values(spark, sf_dir):
+    """The last point of each series where many share the last date: the last message."""
+    latest = gold.latest_indicators(park(event_silver(spark, sf_dir), "silver"))
+    return latest.drop("variacao_ultimo_mes")
+
+
+def run_streams(spark, sf_dir):
+    """A bounded series query, waited for and stopped; rows by series."""
+    log, out, state = (new_folder(spark, name) for name in ("mensagens", "serie", "progresso"))
+    topics.write_message_log(series_messages(spark, sf_dir), log)
+    source = ingest.log_source(spark, log, ingest.TOPIC_OF_SERIES)
+    ingest.run_streams(
+        spark, ingest.ingest_series_stream(source, out, state, EVENTS_DAY, bounded=True)
+    )
+    return lake.bronze_series(lake.scan_lake(spark, out)).groupBy("serie_nome").agg(
+        F.count(F.lit(1)).alias("linhas")
     )
 
 
@@ -679,6 +742,7 @@ QUERIES = {
     "ingest_series_stream": ingest_series_stream,
     "ingest_places_stream": ingest_places_stream,
     "both_streams": both_streams,
+    "run_streams": run_streams,
     "stream_resume": stream_resume,
     "bronze_series": bronze_series,
     "bronze_places": bronze_places,
@@ -748,7 +812,14 @@ QUERIES = {
     "isolation_forest_parts": isolation_forest_parts,
     "top_anomalies": lambda s, d: anomalies.top_anomalies(flagged_months(s, d)),
     "anomaly_report": anomaly_report,
+    "anomaly_job": anomaly_job,
+    "persist_model": persist_model,
     "report_totals": lambda s, d: anomalies.report_totals(flagged_events(s, d)),
+    # Tables, views, clock
+    "publish_table": publish_table,
+    "publish_view": publish_view,
+    "stamp_processed": stamp_processed,
+    "latest_event_values": latest_event_values,
     # Quality
     "dq_not_null": lambda s, d: quality.not_null(
         places_model(s, d), "populacao").select("codigo_ibge", "uf"),

@@ -1,11 +1,13 @@
 """JSON lines, model tables, reports and stored forests."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vereda import presets
 from vereda.session import park
 from vereda.sinks.topics import record_value
 
+MODEL_BUCKETS = 64
+
 
 def jsonl_layout(records: DataFrame, collected_at=None) -> DataFrame:
     """JSON text of each record with the partition columns of the raw area."""
@@ -42,21 +44,23 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def publish_table(df: DataFrame, name: str, partition_by=()) -> DataFrame:
-    """Rebuild a model table in full."""
+def publish_table(df: DataFrame, name: str, partition_by=(), path=None) -> DataFrame:
+    """Rebuild a model table in full, in the warehouse or at ``path``."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
-def replace_results(df: DataFrame, name: str) -> bool:
+def replace_results(df: DataFrame, name: str, path=None) -> bool:
     """Replace a result table, or leave it as it is when there is nothing to put in its place."""
     rows = park(df, "resultados")
     if rows.isEmpty():
         return False
-    publish_table(rows, name)
+    publish_table(rows, name, path=path)
     return True
 
 
@@ -64,10 +68,24 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def _bucket():
+    return F.pmod(F.xxhash64("modelo"), F.lit(MODEL_BUCKETS)).cast("int")
+
+
 def persist_forest(forest: DataFrame, path: str) -> None:
-    """Store forest nodes, one folder and file per lower-case series name.
+    """Store forest nodes by a hash of the lower-case series name, however many series.
 
     A forest has a bounded number of nodes, so no name is too much for one task.
     """
-    named = forest.withColumn("modelo", F.lower("serie_nome"))
-    named.repartition("modelo").write.mode("overwrite").partitionBy("modelo").parquet(path)
+    named = forest.withColumn("modelo", F.lower("serie_nome")).withColumn("balde", _bucket())
+    named.repartition("balde", "modelo").write.mode("overwrite").partitionBy("balde").parquet(path)
+
+
+def load_forest(spark: SparkSession, path: str, series=None) -> DataFrame:
+    """The stored nodes, or those of one series, whose bucket alone is read."""
+    nodes = spark.read.parquet(path)
+    if series is None:
+        return nodes
+    wanted = spark.range(1).select(F.lower(F.lit(series)).alias("modelo")).select("modelo", _bucket())
+    name, bucket = wanted.first()
+    return nodes.filter((F.col("balde") == bucket) & (F.col("modelo") == name))
