@@ -22,6 +22,7 @@ from vereda.llm.tokens import encoder
 
 CAPACITY = 4096
 WINDOWS = 64  # windows of a batch
+OUTPUT = 4 << 20  # bytes of ids that leave a task together
 END = 2
 
 
@@ -127,14 +128,15 @@ def pack_documents(docs: DataFrame, path: str, doc_id="doc_id", text="text",
         words, ending = encoder(path), np.array([end], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 40
         waiting, size = [], 0  # parts: doc, start, length, bytes, tokens of the document
-        done = []
+        done, held = [], 0
 
         def place(parts):
-            nonlocal sequence
+            nonlocal sequence, held
             offset = 0
             for doc, start, length, ids, tokens in parts:
                 done.append((doc, start, length, ids, tokens, sequence, offset))
                 offset += length
+                held += len(ids)
             sequence += 1
 
         def settle(last):
@@ -151,8 +153,10 @@ def pack_documents(docs: DataFrame, path: str, doc_id="doc_id", text="text",
                 size -= length
 
         def output():
+            nonlocal held
             columns = list(zip(*done))
             done.clear()
+            held = 0
             kinds = [doc_type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(column, field) for column, field in zip(columns, kinds)], names=schema
@@ -173,7 +177,7 @@ def pack_documents(docs: DataFrame, path: str, doc_id="doc_id", text="text",
                     size += tokens - full
                 if size >= windows * capacity:
                     settle(False)
-                if len(done) >= 20000:
+                if held >= OUTPUT:
                     yield output()
         settle(True)
         if done:
