@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, doc_id="doc_id", text="text", shingle=SHINGLE)
     def run(batches):
         for batch in batches:
             found = np.array(
-                [fingerprint(t, shingle) for t in batch["text"].to_pylist()], dtype=np.uint64
+                [fingerprint(t.as_py(), shingle) for t in batch["text"]], dtype=np.uint64
             ).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["text_key"], pa.array(found)],

@@ -68,8 +68,8 @@ def candidate_counts(rows: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
                 classes = Counter(), Counter()
-                for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist()):
-                    classes[1 if toxic else 0].update(_features(text))
+                for text, toxic in zip(part["text"], part["toxic"].to_pylist()):
+                    classes[1 if toxic else 0].update(_features(text.as_py()))
                 for has_class, found in enumerate(classes):
                     ones = pa.array(list(found.values()), pa.int64())
                     none = pa.array(np.zeros(len(found), np.int64))
@@ -131,7 +131,7 @@ def vote_counts(rows: DataFrame, voters: Voters):
 
     def vote(batches):
         for batch in batches:
-            found = [voters.votes(text) for text in batch["text"].to_pylist()]
+            found = [voters.votes(text.as_py()) for text in batch["text"]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.int64()), batch["toxic"]], names=["votes", "toxic"]
             )
@@ -254,14 +254,17 @@ def score_documents(docs: DataFrame, scorer: Scorer, carry=None, text="text") ->
     fires. Equal texts have equal scores, repeated rows are each scored, an empty table gives
     no rows. Columns of any name are carried along unread.
     """
+    carried = list(carry or docs.columns)
     rows = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in carry or docs.columns]).alias("_doc"),
-        text_of(f"`{text}`").alias("_text"),
+        F.struct(*[F.col(f"`{name}`") for name in carried]).alias("_doc"),
+        *([] if text in carried else [F.col(f"`{text}`").alias("_text")]),
     )
 
     def run(batches):
+        # A carried text is read where it is, and one text at a time is a Python string.
         for batch in batches:
-            scores = [scorer.score(body) for body in batch["_text"].to_pylist()]
+            bodies = batch["_doc"].field(carried.index(text)) if text in carried else batch["_text"]
+            scores = np.fromiter((scorer.score(body.as_py() or "") for body in bodies), float)
             yield pa.RecordBatch.from_arrays(
                 [batch["_doc"], pa.array(scores, pa.float64())], names=["_doc", "score"]
             )
