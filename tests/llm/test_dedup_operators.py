@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vereda.llm import exact, simhash, suffixes, toxicity, urls
+from vereda.llm import exact, queries, simhash, suffixes, toxicity, urls
 from vereda.llm.components import components
 from vereda.session import park
 
@@ -279,6 +279,22 @@ def test_urls(spark):
     assert urls.judge_urls(pages, outcomes.limit(0)).filter("verdict = 'block'").count() == 3
 
 
+def test_outcomes_follow_the_document_of_the_path(spark, tmp_path):
+    tails = ["", "/", ".html", "#top", "?page=2&ref=x"]
+    rows = [(i, f"http://{'bad' if i < 40 else 'good'}.com/en/{9000 + i // 2}{tails[i % 5]}") for i in range(80)]
+    rows += [(80, "http://other.com/en/99999999999999999999"), (81, "http://other.com/9001"), (82, None), (9001, "http://last.com/")]
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    labels = [(9000 + i, 1, int(i < 20)) for i in range(40)] + [(i, 1, int(i >= 40)) for i in range(80)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r.page_id: r.verdict for r in queries.op7_url_filters(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    assert {page for page, verdict in got.items() if verdict == "block"} == set(range(40))
+    split = spark.createDataFrame([("h", 1), ("h", 1), ("g", 1), ("g", None)], "host string, doc_id bigint")
+    known = spark.createDataFrame([(1, 1), (1, 0), (None, 1)], "doc_id bigint, bad int")
+    counts = {r.host: (r.pages, r.bad) for r in urls.host_reputation(split, known, key="doc_id").collect()}
+    assert counts == {"h": (4, 2), "g": (2, 1)}
+
+
 # Pipeline
 
 

@@ -68,13 +68,13 @@ def op6_toxicity(spark, sf_dir):
 
 
 def op7_url_filters(spark, sf_dir):
-    """A labelled page is bad if it is toxic or of low quality."""
+    """A page is bad if the document its path names is labelled toxic or of low quality."""
     outcomes = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("page_id"),
+        "doc_id",
         F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1)
         .when((F.col("quality") == 1) | (F.col("toxic") == 0), 0).alias("bad"),
     )
-    return urls.judge_urls(table(spark, sf_dir, "pages"), outcomes)
+    return urls.judge_urls(table(spark, sf_dir, "pages"), outcomes, key="doc_id")
 
 
 def op8_exact_dedup(spark, sf_dir):

@@ -31,6 +31,12 @@ def split_url(url):
     return host, path
 
 
+def document_of(path):
+    """The number of the document that a path such as /en/7817.html shows, else null."""
+    number = F.regexp_extract(path, r"^/[a-z]{2}/([0-9]+)(?:/|\.html)?$", 1)
+    return number.try_cast("bigint")  # no number, or one too long for an id, is null
+
+
 def rule_of(host, path, rules=RULES):
     """The rule that fits, longest first, and its verdict."""
     name = verdict = None
@@ -72,18 +78,22 @@ def _rates(counts, level, parent):
     )
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, z=Z) -> DataFrame:
+def host_reputation(pages: DataFrame, outcomes: DataFrame, z=Z, key="page_id") -> DataFrame:
     """Posterior of the bad rate per host: ``host, pages, bad, rate, bound``.
 
-    ``pages`` has (page_id, host); ``outcomes`` has (page_id, bad) with 0 or 1, more than one
-    row a page allowed, nulls left out. A host without outcomes has its domain's rate.
+    ``pages`` has (``key``, host); ``outcomes`` has (``key``, bad) with 0 or 1, more than one
+    row a key allowed, nulls left out. Every page with the key has the outcome, whatever its
+    host. A host without outcomes has its domain's rate.
     """
-    known = outcomes.filter("bad IS NOT NULL").groupBy("page_id").agg(
+    known = outcomes.filter("bad IS NOT NULL").groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("bad").alias("_b")
     )
+    # Pages of a host that show the same are counted first, so that no key is hot in the join.
+    shown = pages.groupBy("host", key).agg(F.count(F.lit(1)).alias("_pages"))
     hosts = (
-        pages.join(known, "page_id", "left").groupBy("host").agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.coalesce(F.sum("_b"), F.lit(0)).alias("b")
+        shown.join(known, key, "left").groupBy("host").agg(
+            F.coalesce(F.sum(F.expr("_pages * _n")), F.lit(0)).alias("n"),
+            F.coalesce(F.sum(F.expr("_pages * _b")), F.lit(0)).alias("b"),
         )
         .withColumn("domain", F.substring_index("host", ".", -2))
         .withColumn("suffix", F.substring_index("host", ".", -1))
@@ -105,17 +115,22 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z=Z) -> DataFrame:
     )
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, limit=LIMIT, rules=RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, limit=LIMIT, rules=RULES,
+               key="page_id") -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict``.
 
+    ``outcomes`` has (``key``, bad), the key being ``page_id``, or ``doc_id`` for the document
+    that the path of a page names.
+
     A null url, or one without ``://``, has an empty host and path and is judged as host ''.
-    Repeated rows are all returned, each with the same verdict. A null page id has no
+    Repeated rows are all returned, each with the same verdict. A null key has no
     outcome. An empty table gives no rows; without outcomes nothing is blocked but by rule.
     Other columns of ``pages``, the html among them, are not read.
     """
     host, path = split_url(F.col("url"))
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
-    bad = host_reputation(split, outcomes).filter(F.col("bound") > limit).select(
+    seen = split.withColumn("doc_id", document_of(F.col("path"))) if key == "doc_id" else split
+    bad = host_reputation(seen, outcomes, key=key).filter(F.col("bound") > limit).select(
         "host", F.lit("block").alias("_host_verdict")
     )
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
