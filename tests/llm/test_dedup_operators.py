@@ -253,6 +253,36 @@ def test_label_model_finds_accuracies():
     assert model.correlation[0, 3] > 0.9 and model.say[0] < 0.6 < model.say[1]
 
 
+def test_every_supported_word_has_a_voter(spark):
+    random.seed(9)
+    letters = "bcdfghjklmnpqrst"
+    plain = [f"{a}{b}{c}o" for a in letters for b in "aeiou" for c in letters]
+    insults = [f"{a}y{b}{c}u" for a in letters for b in letters for c in "xz"][:150]
+    docs = [(at, " ".join(random.choices(plain, k=12))) for at in range(5000)]
+    docs += [(5000 + at, " ".join([*random.choices(plain, k=12), insults[at % 150]])) for at in range(2100)]
+    labels = spark.createDataFrame([(doc, int(doc >= 5000)) for doc, _ in docs], "doc_id bigint, toxic int")
+    scorer = toxicity.train(frame_of(spark, docs), labels)
+    assert all(scorer.voters.votes(word) for word in insults)
+    assert all(scorer.score(f"{plain[0]} {word}") >= 0.5 for word in insults)
+    assert scorer.score(" ".join(plain[:12])) < 0.5
+
+
+def test_near_copies_support_a_word_once(spark):
+    random.seed(10)
+    words = [f"{a}{b}{c}" for a in "bdfglmnprst" for b in "aeiou" for c in ("ran", "tol", "sik", "mep", "duv")]
+    body = random.choices(words, k=3000)
+    rows = [(" ".join([*body, f"end{'abcdefghij'[at % 10] * (1 + at // 10)}"]), 1) for at in range(40)]
+    rows += [(" ".join([*random.choices(words, k=200), "vilest"]), 1) for _ in range(5)]
+    rows += [(" ".join(random.choices(words, k=200)), 0) for _ in range(30)] + [(" ".join([*body, "clean"]), 0)]
+    frame = toxicity.with_fingerprints(spark.createDataFrame(rows, "text string, toxic int").repartition(8))
+    counts = {r.feature: (r.toxic, r.clean) for r in toxicity.candidate_counts(frame).collect()}
+    assert counts["vilest "] == (5, 0) and counts["enda "] == (1, 0) and counts[""] == (6, 31)
+    values = [random.getrandbits(64) for _ in range(40)]
+    values += [value ^ (0b1111 << random.randrange(60)) for value in values[:20]] + values[:5]
+    group, want = toxicity.near_groups(values), plain_components(values, toxicity.NEAR)
+    assert len(set(zip(group.tolist(), want))) == len(set(group.tolist())) == len(set(want))
+
+
 # Urls
 
 

@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
 Voters are words and word beginnings that the labelled rows suggest, and a few patterns of
-writing; each fires on a document or not. A generative label model, a mixture of two classes,
+writing; each fires on a document or not. All that pass a fixed test of support vote, and
+near copies among the labelled rows support a word once. A generative label model, a mixture of two classes,
 estimates by expectation maximisation how often each voter fires in either class; the labels
 take part as one more voter of unknown accuracy. Voters that fire together beyond what the
 classes explain share their say. A linear classifier is then trained on the posterior of the
@@ -15,17 +16,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from vereda.llm import simhash
 from vereda.llm.common import text_of
 from vereda.session import park
 
 SAMPLE = 20_000  # labelled rows to learn from at most, chosen by a hash of the id
-VOTERS = 60  # at most; votes of a document are the bits of a bigint
 BEGINNINGS = (4, 5, 6, 8)  # letters of a word that may make a voter
-SUPPORT = 3  # toxic texts that a voter must fire on, and one in SHARE of them
-SHARE = 100
+SUPPORT = 3  # toxic texts, near copies counted once, that a voter must fire on
 LABEL_FIRES = ((0.0, 0.05), (0.8, 1.0))  # what is believed of the label, in clean and toxic rows
 TOGETHER = 250  # texts counted together before their features leave a task
-CANDIDATES = 4000  # most supported candidates that are looked at
+CHANCE = 1e-3  # odds at most that a word without meaning meets so many toxic texts of its texts
+NEAR = 4  # bits between the SimHashes of near copies
+PAIRS = 256  # fingerprints compared with all others at a time
 _WORD = re.compile(r"[^\W\d_]+")
 PATTERNS = [  # ways of writing, each a voter of its own
     ("repeated exclamation", re.compile(r"[!?]{2,}")),
@@ -60,50 +62,129 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="tex
     ).groupBy("text").agg(F.max("toxic").alias("toxic"))  # copies say nothing new
 
 
+def near_groups(values):
+    """Number of the group of each fingerprint; those at most NEAR bits apart are linked."""
+    values = np.asarray(values, np.uint64)
+    group = np.full(len(values), -1, np.int64)
+    rest, named = np.arange(len(values)), 0
+    while len(rest):  # every value enters ``front`` once and meets all that have no group yet
+        front, rest = rest[:1], rest[1:]
+        while len(front):
+            group[front] = named
+            linked = np.zeros(len(rest), bool)
+            for at in range(0, len(front), PAIRS):
+                apart = np.bitwise_count(values[rest][:, None] ^ values[front[at:at + PAIRS]][None, :])
+                linked |= (apart <= NEAR).any(axis=1)
+            front, rest = rest[linked], rest[~linked]
+        named += 1
+    return group
+
+
+def with_fingerprints(rows: DataFrame) -> DataFrame:
+    """The training rows with the SimHash of their text."""
+
+    def run(batches):
+        for batch in batches:
+            found = np.array(
+                [simhash.fingerprint(text.as_py()) for text in batch["text"]], np.uint64
+            ).view(np.int64)
+            yield batch.append_column("fingerprint", pa.array(found))
+
+    return rows.select("text", "toxic").mapInArrow(
+        run, "text string, toxic int, fingerprint bigint"
+    )
+
+
+def copy_groups(rows: DataFrame) -> dict:
+    """Group by fingerprint of the training rows that have near copies among them."""
+    found = rows.groupBy("fingerprint").count().orderBy("fingerprint").collect()  # bounded by SAMPLE
+    values = np.array([row["fingerprint"] for row in found], np.int64)
+    names, members = near_groups(values.view(np.uint64)).tolist(), Counter()
+    for name, row in zip(names, found):
+        members[name] += row["count"]
+    return {row["fingerprint"]: name for name, row in zip(names, found) if members[name] > 1}
+
+
 def candidate_counts(rows: DataFrame) -> DataFrame:
-    """``feature, toxic, clean``: documents of each class that have it, counted in the tasks."""
+    """``feature, toxic, clean``: documents of each class that have it, near copies of a class
+    counted once; the empty feature is in all. Counted in the tasks, wherever the copies lie."""
+    groups = copy_groups(rows)
+
+    def counts(found, toxic, group=None):
+        ones = pa.array(list(found.values()) if group is None else np.ones(len(found)), pa.int64())
+        none = pa.array(np.zeros(len(found), np.int64))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.string()), pa.array([group] * len(found), pa.int64()),
+             *((ones, none) if toxic else (none, ones))],
+            names=["feature", "copies", "toxic", "clean"],
+        )
 
     def count(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
-                classes = Counter(), Counter()
-                for text, toxic in zip(part["text"], part["toxic"].to_pylist()):
-                    classes[1 if toxic else 0].update(_features(text.as_py()))
-                for has_class, found in enumerate(classes):
-                    ones = pa.array(list(found.values()), pa.int64())
-                    none = pa.array(np.zeros(len(found), np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(found), pa.string()),
-                         *((none, ones) if has_class == 0 else (ones, none))],
-                        names=["feature", "toxic", "clean"],
-                    )
-
-    return rows.mapInArrow(count, "feature string, toxic bigint, clean bigint").groupBy(
-        "feature"
-    ).agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-
-
-def choose_lexicon(rows: DataFrame, voters=VOTERS - len(PATTERNS)):
-    """Words and beginnings that speak for toxicity, none the beginning of another."""
-    toxic = rows.agg(F.sum("toxic")).first()[0] or 0
+                alone, copies = (Counter(), Counter()), {}
+                for text, toxic, value in zip(part["text"], part["toxic"].to_pylist(),
+                                              part["fingerprint"].to_pylist()):
+                    toxic, group, found = bool(toxic), groups.get(value), _features(text.as_py())
+                    found.add("")
+                    if group is None:
+                        alone[toxic].update(found)
+                    else:
+                        copies.setdefault((group, toxic), set()).update(found)
+                for toxic, found in enumerate(alone):
+                    yield counts(found, toxic)
+                for (group, toxic), found in copies.items():
+                    yield counts(found, toxic, group)
+
+    def once(name):
+        return F.when(F.col("copies").isNull(), F.sum(name)).otherwise(F.max(name)).alias(name)
+
+    return rows.mapInArrow(
+        count, "feature string, copies bigint, toxic bigint, clean bigint"
+    ).groupBy("feature", "copies").agg(once("toxic"), once("clean")).groupBy("feature").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
+    )
+
+
+def beyond_chance(toxic, clean, share):
+    """If so many toxic texts are too many for a word that ``share`` of its texts make toxic.
+
+    Chernoff's bound of the binomial tail, which is exact without clean texts.
+    """
+    texts = toxic + clean
+    surprise = toxic * np.log(toxic / (texts * share))
+    if clean:
+        surprise += clean * np.log(clean / (texts * (1 - share)))
+    return toxic > texts * share and surprise >= -np.log(CHANCE)
+
+
+def choose_lexicon(rows: DataFrame):
+    """Words and beginnings that speak for toxicity, none the beginning of another.
+
+    All with SUPPORT, four toxic texts for each clean one, and more than chance would give;
+    none of that depends on the number of texts or of other words.
+    """
     ranked = candidate_counts(rows).filter(
-        (F.col("toxic") >= max(SUPPORT, toxic / SHARE)) & (F.col("toxic") >= 4 * F.col("clean"))
+        (F.col("feature") == "")
+        | (F.col("toxic") >= SUPPORT) & (F.col("toxic") >= 4 * F.col("clean"))
     ).withColumn("_say", F.col("toxic") - 3 * F.col("clean")).orderBy(
         F.desc("_say"), F.length("feature"), "feature"
-    ).limit(CANDIDATES).collect()  # bounded by CANDIDATES
-    chosen = []
-    for row in ranked:
-        if not any(row.feature.startswith(other) or other.startswith(row.feature.strip())
-                   for other in chosen):
-            chosen.append(row.feature)
-        if len(chosen) == voters:
-            break
-    return chosen
+    ).collect()  # bounded by the words of SAMPLE texts
+    share = next((row.toxic / (row.toxic + row.clean) for row in ranked if not row.feature), 0)
+    chosen, begun = {}, set()
+    for feature, toxic, clean, _ in ranked:
+        if not feature or not beyond_chance(toxic, clean, share):
+            continue
+        own = [feature[:length] for length in range(1, len(feature) + 1)]
+        if feature.strip() not in begun and not any(part in chosen for part in own):
+            chosen[feature] = True
+            begun.update(own)
+    return list(chosen)
 
 
 class Voters:
-    """Which voters fire on a text, as the bits of an integer."""
+    """Which voters fire on a text, as the bits of an integer of any length."""
 
     def __init__(self, lexicon):
         self.lexicon = list(lexicon)
@@ -113,6 +194,7 @@ class Voters:
             (1 << len(self.lexicon) + at, pattern) for at, (_, pattern) in enumerate(PATTERNS)
         ]
         self.count = len(self.lexicon) + len(PATTERNS)
+        self.width = (self.count + 7) // 8
 
     def votes(self, text):
         mask, bits = 0, self.bits
@@ -131,12 +213,13 @@ def vote_counts(rows: DataFrame, voters: Voters):
 
     def vote(batches):
         for batch in batches:
-            found = [voters.votes(text.as_py()) for text in batch["text"]]
+            found = [voters.votes(text.as_py()).to_bytes(voters.width, "little")
+                     for text in batch["text"]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()), batch["toxic"]], names=["votes", "toxic"]
+                [pa.array(found, pa.binary()), batch["toxic"]], names=["votes", "toxic"]
             )
 
-    counted = rows.mapInArrow(vote, "votes bigint, toxic int").groupBy("votes", "toxic").agg(
+    counted = rows.mapInArrow(vote, "votes binary, toxic int").groupBy("votes", "toxic").agg(
         F.count(F.lit(1)).alias("rows")
     )
     return counted.orderBy("votes", "toxic").collect()  # bounded by SAMPLE
@@ -232,11 +315,13 @@ def train(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text",
           sample=SAMPLE) -> Scorer:
     """Learn a scorer. Without labelled rows, or rows of one class only, it scores the share
     of toxic rows for every text, 0 if there are none."""
-    rows = park(training_rows(docs, labels, doc_id, text, sample), "labelled")
+    rows = park(with_fingerprints(training_rows(docs, labels, doc_id, text, sample)), "labelled")
     voters = Voters(choose_lexicon(rows))
     counted = vote_counts(rows, voters)
-    masks = np.array([row.votes for row in counted], np.int64)
-    votes = (masks[:, None] >> np.arange(voters.count)[None, :] & 1).astype(float)
+    masks = np.frombuffer(b"".join(row.votes for row in counted), np.uint8)
+    votes = np.unpackbits(
+        masks.reshape(len(counted), voters.width), axis=1, count=voters.count, bitorder="little"
+    ).astype(float)
     weights = np.array([row.rows for row in counted], float)
     labelled = np.array([row.toxic for row in counted], float)
     if not len(counted) or labelled.min() == labelled.max():
