@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from vereda.llm import (
-    bpe, chat, exact, multiset, packing, queries_sql, sharding, simhash, suffixes,
-    toxicity, urls,
+    bpe, chat, exact, minmax, multiset, packing, phrases, queries_sql, sharding, simhash,
+    spelling, suffixes, toxicity, urls,
 )
 from vereda.llm.common import sha256, table, vocabulary
 
@@ -96,6 +96,18 @@ def op10_suffix_array_dedup(spark, sf_dir):
     )
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_minhash(spark, sf_dir):
+    return minmax.near_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     name: query for name, query in list(globals().items())
     if name.startswith("op") and name[2].isdigit()
