@@ -141,12 +141,12 @@ WITH RECURSIVE bits AS (
         CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)) AS code
     FROM distinct_runs
 ), steps AS (
-    SELECT doc, run, c, code, 1 AS at, CAST(4294967295 AS BIGINT) AS crc FROM coded
+    SELECT doc, run, c, code, 1 AS pos, CAST(4294967295 AS BIGINT) AS crc FROM coded
     UNION ALL
-    SELECT doc, run, c, code, at + 1, xor(crc >> 8, v) FROM steps
-    JOIN crc_table ON byte = xor(crc, CAST(code[at] AS BIGINT)) & 255 WHERE at <= len(code)
+    SELECT doc, run, c, code, pos + 1, xor(crc >> 8, v) FROM steps
+    JOIN crc_table ON byte = xor(crc, CAST(code[pos] AS BIGINT)) & 255 WHERE pos <= len(code)
 ), marked AS (
-    SELECT run, c, xor(crc, 4294967295) AS h FROM steps WHERE at = len(code) + 1
+    SELECT run, c, xor(crc, 4294967295) AS h FROM steps WHERE pos = len(code) + 1
 ), words AS (
     SELECT CASE WHEN h % 97 = 0 THEN
         substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
@@ -168,10 +168,10 @@ WITH RECURSIVE bits AS (
     SELECT word, n, n_near, form_n, (SELECT min(near) FROM pairs
         WHERE pairs.word = near.word AND near_n = form_n) AS form FROM near
 ), chain AS (
-    SELECT word, word AS at FROM formed
-    UNION ALL SELECT chain.word, form FROM chain JOIN formed ON formed.word = at WHERE form IS NOT NULL
+    SELECT word, word AS last FROM formed
+    UNION ALL SELECT chain.word, form FROM chain JOIN formed ON formed.word = last WHERE form IS NOT NULL
 ), roots AS (
-    SELECT chain.word, at AS root FROM chain JOIN formed ON formed.word = at WHERE form IS NULL
+    SELECT chain.word, last AS root FROM chain JOIN formed ON formed.word = last WHERE form IS NULL
 )
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
 """.replace("LOWERED", LOWER)
