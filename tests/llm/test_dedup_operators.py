@@ -166,15 +166,36 @@ def repeat_texts():
     return texts + [some(2000) for _ in range(4)]
 
 
-@pytest.mark.parametrize("group", [suffixes.GROUP, 3])
-def test_removed_bytes(spark, group):
+@pytest.mark.parametrize("group, length, note", [(suffixes.GROUP, 400, 200), (3, 400, None), (3, 700, 90)])
+def test_removed_bytes(spark, group, length, note):
     texts = repeat_texts()
     frame = frame_of(spark, list(enumerate(texts))).repartition(4)
-    got = {r._doc.doc_id: r for r in suffixes.remove_repeats(frame, group=group).collect()}
-    for at, want in enumerate(plain_repeats([(text or "").encode() for text in texts])):
+    found = suffixes.remove_repeats(frame, group=group, length=length, note=note)
+    got = {r._doc.doc_id: r for r in found.collect()}
+    raw = [(text or "").encode() for text in texts]
+    for at, (want, noted) in enumerate(zip(plain_repeats(raw, length), plain_repeats(raw, note or length))):
         row = got[at]
         assert (row.n_bytes, row.n_removed, row.n_spans, bytes(row.kept)) == want
-    assert suffixes.remove_repeats(frame.limit(0)).count() == 0
+        assert row.n_noted == noted[1]
+    assert suffixes.remove_repeats(frame.limit(0), length=length, note=note).count() == 0
+    with pytest.raises(ValueError):
+        suffixes.remove_repeats(frame, length=suffixes.GRAM)
+
+
+def test_passages_of_51_words_go(spark):
+    random.seed(12)
+    words = ["".join(random.choice("abcdefghijé") for _ in range(random.randint(2, 8))) for _ in range(900)]
+    some = lambda n: " ".join(random.choices(words, k=n))
+    passages = [some(51) for _ in range(8)]
+    clean = [some(random.randint(20, 300)) for _ in range(60)]
+    planted = [f"{some(random.randint(0, 80))} {passages[k % 8]} {some(random.randint(1, 80))}" for k in range(40)]
+    frame = frame_of(spark, list(enumerate(clean + planted)))
+    got = {r._doc.doc_id: r.kept for r in suffixes.remove_repeats(frame, as_text=True, length=suffixes.PASSAGE).collect()}
+    assert all(len(passage.encode()) >= suffixes.PASSAGE for passage in passages)
+    assert [got[k] for k in range(60)] == clean
+    for k, text in enumerate(planted, 60):
+        before, after = text.split(passages[(k - 60) % 8])
+        assert passages[(k - 60) % 8] not in got[k] and len(got[k]) <= len(before + after)
 
 
 def test_slabs_do_not_cut_windows(monkeypatch):
@@ -183,7 +204,7 @@ def test_slabs_do_not_cut_windows(monkeypatch):
     whole = suffixes.segments(text, np.array([len(text)]))
     monkeypatch.setattr(suffixes, "SLAB", 700)
     starts = []
-    for data, numbers, offsets, ends in suffixes._slabs([text, b"tiny", text[:450]]):
+    for data, numbers, offsets, ends in suffixes._slabs([text, b"tiny", text[:450]], suffixes.LENGTH):
         at, count, anchor, key = suffixes.segments(data, ends)
         part = np.searchsorted(ends, at, side="right")
         place = at - np.r_[0, ends[:-1]][part] + np.array(offsets)[part]

@@ -90,9 +90,14 @@ def op9_sharding(spark, sf_dir):
 
 
 def op10_suffix_array_dedup(spark, sf_dir):
-    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
+    """Strings of 400 bytes are removed; repeated passages of over 50 words, which may be
+    shorter, are only counted, in ``n_passage``."""
+    rows = suffixes.remove_repeats(
+        table(spark, sf_dir, "documents"), carry=["doc_id"], note=suffixes.PASSAGE
+    )
+    return rows.select(
         "_doc.doc_id", "n_bytes", "n_removed", "n_spans",
-        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"), F.col("n_noted").alias("n_passage"),
     )
 
 

@@ -137,7 +137,7 @@ WITH RECURSIVE bits AS (
 ), distinct_runs AS (
     SELECT doc, run, count(*) AS c FROM runs GROUP BY ALL
 ), coded AS (
-    SELECT doc, run, c, flatten(list_transform(string_split(doc || ':' || run, ''), x ->
+    SELECT doc, run, c, flatten(list_transform(string_split(doc || ':' || run, ''), lambda x:
         CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)) AS code
     FROM distinct_runs
 ), steps AS (
