@@ -24,11 +24,12 @@ def drop_near_copies(spark, docs, sf_dir):
 
 
 def cut_repeats(spark, docs, sf_dir):
-    """Texts without passages of 400 bytes that occur more than once, and their new length.
+    """Texts without passages that occur more than once, and their new length.
 
+    A passage has ``suffixes.PASSAGE`` bytes or more, which takes in those of over 50 words.
     A document of repeated passages alone stays, with an empty text.
     """
-    rest = suffixes.remove_repeats(docs, as_text=True)
+    rest = suffixes.remove_repeats(docs, as_text=True, length=suffixes.PASSAGE)
     changed = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
     return rest.select(*[
         changed[name].alias(name) if name in changed else F.col("_doc")[name].alias(name)
