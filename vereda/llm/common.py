@@ -1,7 +1,9 @@
 """Helpers the operators share."""
 
+import ctypes
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -33,3 +35,19 @@ def vocabulary(name="word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def frugal(run, rows=1000):
+    """``run`` for ``mapInArrow`` on at most ``rows`` rows at a time, whose worker gives memory
+    back to the system when the task ends. Workers serve many tasks, and what one stage needed
+    would otherwise count against the next."""
+    def wrapped(batches):
+        yield from run(
+            batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows)
+        )
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return wrapped

@@ -26,6 +26,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from vereda.llm.common import frugal
 from vereda.llm.rolling import window_hashes
 from vereda.session import park
 
@@ -396,7 +397,9 @@ def _settle(contexts, group, length):
         crowded = large.limit(1).count()
         small = contexts.join(large, "key", "left_anti") if crowded else contexts
         spans.append(
-            small.repartition("key").sortWithinPartitions("key").mapInArrow(_compare_groups(length), _SPANS)
+            small.repartition("key").sortWithinPartitions("key").mapInArrow(
+                frugal(_compare_groups(length)), _SPANS
+            )
         )
         if not crowded:
             break
@@ -434,7 +437,7 @@ def repeated_spans(rows: DataFrame, packed: DataFrame, group=GROUP, length=LENGT
     if not GRAM < length <= LIMIT:
         raise ValueError(f"length of {length} bytes is not between {GRAM + 1} and {LIMIT}")
     found = park(rows.select("_text").mapInArrow(
-        _emit_segments(length), "doc_a bigint, doc_b bigint, span bigint, key bigint, content bigint"
+        frugal(_emit_segments(length)), "doc_a bigint, doc_b bigint, span bigint, key bigint, content bigint"
     ), "segments")
     # Stored, so that the join below deals both sides anew and can split a frequent key.
     keys = park(found.groupBy("key").agg(
@@ -457,7 +460,7 @@ def repeated_spans(rows: DataFrame, packed: DataFrame, group=GROUP, length=LENGT
     )
     texts = packed.select("doc_a", "doc_b", "packed").join(wanted, ["doc_a", "doc_b"])
     contexts = texts.dropDuplicates(["doc_a", "doc_b"]).mapInArrow(
-        _emit_contexts(length), _SEGMENT + ", before binary, after binary"
+        frugal(_emit_contexts(length)), _SEGMENT + ", before binary, after binary"
     )
     return copied.unionByName(_settle(contexts, group, length))
 
@@ -529,7 +532,7 @@ def remove_repeats(docs: DataFrame, carry=None, text="text", group=GROUP, as_tex
         "_doc", F.lit(0).cast("bigint").alias("doc_a"), F.lit(0).cast("bigint").alias("doc_b"),
         F.lit(b"").alias("packed"),
     ).schema
-    packed = rows.mapInArrow(_emit_packed, fields)
+    packed = rows.mapInArrow(frugal(_emit_packed), fields)
     texts = packed.select("doc_a", "doc_b", "packed")
     found = repeated_spans(rows, texts, group, length).withColumn("removed", F.lit(True))
     if note is not None:
@@ -546,4 +549,4 @@ def remove_repeats(docs: DataFrame, carry=None, text="text", group=GROUP, as_tex
         "_doc", *[F.lit(0).cast("bigint").alias(name) for name in _COUNTS],
         F.lit("" if as_text else b"").alias("kept"),
     ).schema
-    return joined.mapInArrow(_emit_kept(as_text), result)
+    return joined.mapInArrow(frugal(_emit_kept(as_text)), result)
