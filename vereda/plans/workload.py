@@ -8,6 +8,7 @@ groups that are collected into one payload are pages of a fixed size.
 
 import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vereda import presets
@@ -18,7 +19,7 @@ from vereda.plans import anomalies, gold, serve, silver
 from vereda.session import fixed_table, new_folder, park
 from vereda.sinks import files, topics
 from vereda.sources import jsonl, lake, payloads
-from vereda.streaming import ingest
+from vereda.streaming import ingest, publish as publishing
 
 # The clock of the derived data: orders end in 2001, events in January 2024.
 ORDERS_DAY = datetime.date(2001, 8, 31)
@@ -333,10 +334,81 @@ def ingest_counts(spark, sf_dir):
 
 
 def keyed_routing(spark, sf_dir):
-    """Messages of each key, which a topic keeps in order: how many, the first and the last."""
-    return to_messages(spark, sf_dir).groupBy("topic", "key").agg(
+    """Where a topic keeps the messages of each key: partition, number, first and last."""
+    placed = topics.assign_partitions(to_messages(spark, sf_dir), [F.col("event_id")])
+    return placed.groupBy("topic", "partition", "key").agg(
         F.count(F.lit(1)).alias("mensagens"), F.min("event_id").alias("primeira"),
-        F.max("event_id").alias("ultima"),
+        F.max("event_id").alias("ultima"), F.min("offset").alias("primeira_posicao"),
+        F.max("offset").alias("ultima_posicao"),
+    )
+
+
+def _published(spark, sf_dir):
+    """The raw area in two halves, published after each, and once more with nothing new; the
+    first run fails after it has stored its batch. Folders of the rows and of the counts."""
+    raw, out, ledger, state = (new_folder(spark, name) for name in ("bruto", "topicos", "totais", "progresso"))
+    lines = event_lines(spark, sf_dir).select(
+        F.col("linha").alias("value"), F.coalesce("fonte", F.lit("nenhuma")).alias("fonte"),
+        F.regexp_extract("arquivo", "dia=([0-9-]+)", 1).alias("dia"), "event_id",
+    )
+
+    def publish(after=None):
+        routed = publishing.route_lines(publishing.stream_jsonl(spark, raw), topics.topic_map(spark))
+        ingest.drain_streams(publishing.write_batches(
+            routed, out, state, publishing.destination_counts(), ledger, bounded=True, after=after
+        ))
+
+    early = F.col("dia") < "2024-01-16"
+    for part in (lines.filter(early), lines.filter(~early)):
+        part.drop("event_id").write.mode("append").partitionBy("fonte", "dia").text(raw)
+        _fails_once(publish)
+    publish()
+    return out, ledger
+
+
+def _fails_once(run):
+    def stop(number):
+        raise RuntimeError(f"stopped after batch {number}")
+
+    try:
+        run(stop)
+    except StreamingQueryException as ended:
+        if "stopped after batch" not in str(ended):
+            raise
+    run()
+
+
+def publish_incremental(spark, sf_dir):
+    """Lines of a growing raw area in their topics; no line is sent twice."""
+    rows = spark.read.parquet(_published(spark, sf_dir)[0])
+    return rows.groupBy("destino", "key", "value").agg(F.count(F.lit(1)).alias("mensagens"))
+
+
+def publish_totals(spark, sf_dir):
+    """The totals that the writes themselves observed."""
+    rows = spark.read.parquet(_published(spark, sf_dir)[1])
+    return rows.agg(*[
+        F.sum(name).alias(name) for name in ("linhas", "mensagens", "rejeitadas", "sem_topico")
+    ])
+
+
+def series_with_rejects(spark, sf_dir):
+    """Every message in the lake or among the rejected, through two runs that fail midway."""
+    log, out, state = (new_folder(spark, name) for name in ("mensagens", "serie", "progresso"))
+    messages = series_messages(spark, sf_dir)
+    half = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")
+
+    def run(after=None):
+        source = ingest.log_source(spark, log, ingest.TOPIC_OF_SERIES)
+        ingest.drain_streams(publishing.write_batches(
+            publishing.route_series(source, EVENTS_DAY), out, state, bounded=True, after=after
+        ))
+
+    for part in (messages.filter(half), messages.filter(~half)):
+        topics.write_message_log(part, log)
+        _fails_once(run)
+    return spark.read.parquet(out).select(
+        F.col("offset").alias("kafka_offset"), "destino", "motivo", "serie_nome", "valor", "ano"
     )
 
 
@@ -625,9 +697,9 @@ def isolation_forest_events(spark, sf_dir):
 
 
 def isolation_forest_parts(spark, sf_dir):
-    """One forest per part: very many short series; few trees each."""
-    months = silver.silver_indicators(part_points(spark, sf_dir), ORDERS_DAY)
-    return _columns(anomalies.detect_all(months, ORDERS_DAY, trees=10))
+    """One forest per part: very many short series."""
+    months = silver.silver_indicators(part_points(spark, sf_dir), ORDERS_DAY, stable=True)
+    return _columns(anomalies.detect_all(months, ORDERS_DAY))
 
 
 def anomaly_report(spark, sf_dir):
@@ -659,7 +731,7 @@ def anomaly_job(spark, sf_dir):
 def persist_model(spark, sf_dir):
     """Trees and sample of every forest that was stored and loaded again."""
     folder = new_folder(spark, "modelos")
-    _, forest = anomalies.score_series(monthly_table(spark, sf_dir), trees=10)
+    _, forest = anomalies.score_series(monthly_table(spark, sf_dir))
     files.persist_forest(forest, folder)
     return files.load_forest(spark, folder).groupBy("serie_nome").agg(
         F.count_distinct("arvore").alias("arvores"),
@@ -738,6 +810,9 @@ QUERIES = {
     "ingest_counts": ingest_counts,
     "ingest_totals": lambda s, d: topics.ingest_totals(ingest_counts(s, d)),
     "keyed_routing": keyed_routing,
+    "publish_incremental": publish_incremental,
+    "publish_totals": publish_totals,
+    "series_with_rejects": series_with_rejects,
     # Streams and bronze
     "ingest_series_stream": ingest_series_stream,
     "ingest_places_stream": ingest_places_stream,

@@ -189,6 +189,9 @@ LINES = [
     AS mensagens
   FROM textos LEFT JOIN topicos USING (fonte) GROUP BY arquivo)""",
 ]
+DEALT = """destinos AS (
+  SELECT t.*, CASE WHEN event_type = 'error' THEN 'rejeitada'
+    ELSE COALESCE(topic, 'sem_topico') END AS destino FROM textos t LEFT JOIN topicos USING (fonte))"""
 
 STREAMED = [*EVENTS, "lidos AS (SELECT * FROM pontos WHERE serie_nome <> 'Taxa_Financiamento_Imob')"]
 BRONZE = """fonte, serie_codigo, serie_nome, unidade, data_ref, valor, categoria, ano, mes,
@@ -361,8 +364,27 @@ ORACLES = {
     "ingest_counts": _query(LINES, "SELECT * FROM contagens"),
     "ingest_totals": _query(LINES, """SELECT COUNT(*) AS arquivos,
       CAST(SUM(mensagens) AS BIGINT) AS mensagens FROM contagens"""),
-    "keyed_routing": _query(LINES, """SELECT topic, key, COUNT(*) AS mensagens,
-      MIN(event_id) AS primeira, MAX(event_id) AS ultima FROM mensagens GROUP BY topic, key"""),
+    "keyed_routing": _query([*LINES, """divididas AS (
+  SELECT *, CAST(('0x' || substr(md5(key), 1, 8))::BIGINT % 3 AS INT) AS partition FROM mensagens)""",
+    """postas AS (
+  SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY event_id) - 1 AS posicao
+  FROM divididas)"""], """SELECT topic, partition, key, COUNT(*) AS mensagens,
+      MIN(event_id) AS primeira, MAX(event_id) AS ultima, MIN(posicao) AS primeira_posicao,
+      MAX(posicao) AS ultima_posicao FROM postas GROUP BY topic, partition, key"""),
+    "publish_incremental": _query([*LINES, DEALT], """SELECT destino,
+      CASE WHEN destino <> 'rejeitada' THEN COALESCE(NULLIF(codigo, ''), NULLIF(serie, ''), 'default') END
+        AS key, linha AS value, COUNT(*) AS mensagens FROM destinos GROUP BY ALL"""),
+    "publish_totals": _query([*LINES, DEALT], """SELECT COUNT(*) AS linhas,
+      COUNT(*) FILTER (destino NOT IN ('rejeitada', 'sem_topico')) AS mensagens,
+      COUNT(*) FILTER (destino = 'rejeitada') AS rejeitadas,
+      COUNT(*) FILTER (destino = 'sem_topico') AS sem_topico FROM destinos"""),
+    "series_with_rejects": _query([*EVENTS, """textos AS (
+  SELECT *, serie_nome = 'Taxa_Financiamento_Imob' AS quebrada FROM pontos)"""], """SELECT kafka_offset,
+      CASE WHEN quebrada OR valor IS NULL THEN 'rejeitada' ELSE 'aceita' END AS destino,
+      CASE WHEN quebrada THEN 'json' WHEN valor IS NULL THEN 'valor' END AS motivo,
+      CASE WHEN NOT quebrada THEN serie_nome END AS serie_nome,
+      CASE WHEN NOT quebrada THEN valor END AS valor, CASE WHEN NOT quebrada THEN ano END AS ano
+      FROM textos"""),
     "ingest_series_stream": _query(STREAMED, f"SELECT 'bcb' AS {BRONZE} FROM lidos"),
     "ingest_places_stream": _query(PLACES, f"""SELECT fonte, codigo_ibge, nome, uf, regiao, microrregiao,
       mesorregiao, populacao, {SIZE} AS porte_municipio FROM registros"""),
@@ -436,7 +458,7 @@ ORACLES = {
     "contamination_threshold": _query(FLAGGED_EVENTS, "SELECT kafka_offset, serie_nome, anomalia FROM resultados"),
     "severity_bucket": _query(FLAGGED_EVENTS, "SELECT kafka_offset, severidade FROM resultados"),
     "isolation_forest": _forest(MONTHLY_SILVER),
-    "isolation_forest_parts": _forest(PART_SILVER, 10),
+    "isolation_forest_parts": _forest(PART_SILVER),
     "anomaly_report": _query([*FLAGGED_MONTHS, TOPS], """SELECT serie_nome, total, anomalias, pct,
       COALESCE(topo, '') AS topo FROM (
         SELECT serie_nome, COUNT(*) AS total, CAST(SUM(CAST(anomalia AS INT)) AS BIGINT) AS anomalias,
@@ -450,8 +472,8 @@ ORACLES = {
       CAST(SUM(CAST(anomalia AS INT)) AS BIGINT) AS total_anomalias,
       round_even(SUM(CAST(anomalia AS INT)) / COUNT(*)::DOUBLE * 100, 2) AS pct_anomalias FROM resultados"""),
     "anomaly_job": _forest(MONTHLY_SILVER),
-    "persist_model": _query([*MONTHLY_SILVER, LONG_ENOUGH], """SELECT serie_nome,
-      CAST(10 AS BIGINT) AS arvores, CAST(LEAST(COUNT(*), 256) AS BIGINT) AS amostra
+    "persist_model": _query([*MONTHLY_SILVER, LONG_ENOUGH], f"""SELECT serie_nome,
+      CAST({TREES} AS BIGINT) AS arvores, CAST(LEAST(COUNT(*), 256) AS BIGINT) AS amostra
       FROM longos GROUP BY serie_nome"""),
     "publish_table": _query(MONTHLY_SILVER, "SELECT * FROM indicadores"),
     "publish_view": _query(EVENTS, "SELECT kafka_offset, serie_nome, valor FROM pontos"),

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vereda import presets
+from vereda.operators.ordered import row_numbers
 from vereda.session import fixed_table
 
 
@@ -24,6 +25,19 @@ def to_messages(lines: DataFrame, topics: DataFrame, value="linha", carry=()) ->
     )
 
 
+def assign_partitions(messages: DataFrame, order, partitions=presets.TOPIC_PARTITIONS) -> DataFrame:
+    """Messages with ``partition`` and ``offset``, numbered from 0 in the given order.
+
+    The partition comes from the key alone, by the first 32 bits of its MD5, so a key never
+    moves and its messages keep their order. Offsets are numbered chunk by chunk; a topic whose
+    messages share one key is no single task.
+    """
+    head = F.conv(F.substring(F.md5("key"), 1, 8), 16, 10).cast("bigint")
+    placed = messages.withColumn("partition", F.pmod(head, F.lit(partitions)).cast("int"))
+    numbered = row_numbers(placed, order, ["topic", "partition"], "offset")
+    return numbered.withColumn("offset", F.col("offset") - 1)
+
+
 def unroutable_sources(lines: DataFrame, topics: DataFrame) -> DataFrame:
     """Files whose source has no topic, or that name no source."""
     return lines.select("arquivo", "fonte").join(topics, "fonte", "left_anti").distinct()

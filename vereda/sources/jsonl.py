@@ -5,23 +5,31 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vereda import presets
 from vereda.functions.conversion import source_from_path
 
+SUFFIXES = ("jsonl", "txt")
 _BROKEN = "_quebrada"
 _STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
-def scan_jsonl(spark: SparkSession, root: str, suffix=("jsonl", "txt")) -> DataFrame:
-    """One row per non-empty line of every file below ``root`` with one of the suffixes.
-
-    ``arquivo`` is the path below the root and ``fonte`` the source it names. The sink's own
-    files end in ``.txt``. A root without matching files is an error.
-    """
+def file_glob(suffix=SUFFIXES) -> str:
     endings = [suffix] if isinstance(suffix, str) else list(suffix)
-    glob = "*.{" + ",".join(ending.lstrip(".") for ending in endings) + "}"
-    text = (
-        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(root)
-    )
-    if not text.inputFiles():
-        raise FileNotFoundError(f"no {glob} below {root}")
+    return "*.{" + ",".join(ending.lstrip(".") for ending in endings) + "}"
+
+
+def _has_files(spark, root, glob):
+    """Whether a file below ``root`` matches; the listing is read up to the first that does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = spark._jvm.org.apache.hadoop.fs.GlobFilter(glob)
+    entries = system.listFiles(path, True)
+    while entries.hasNext():
+        found = entries.next().getPath()
+        if wanted.accept(found) and not found.getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def lines_of(spark: SparkSession, text: DataFrame, root: str) -> DataFrame:
+    """``arquivo, fonte, linha`` of the lines of a text scan or stream of files below ``root``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
     folder = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri().getPath()
@@ -36,6 +44,21 @@ def scan_jsonl(spark: SparkSession, root: str, suffix=("jsonl", "txt")) -> DataF
     )
 
 
+def scan_jsonl(spark: SparkSession, root: str, suffix=SUFFIXES) -> DataFrame:
+    """One row per non-empty line of every file below ``root`` with one of the suffixes.
+
+    ``arquivo`` is the path below the root and ``fonte`` the source it names. The sink's own
+    files end in ``.txt``. A root without matching files is an error.
+    """
+    glob = file_glob(suffix)
+    text = (
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(root)
+    )
+    if not _has_files(spark, root, glob):
+        raise FileNotFoundError(f"no {glob} below {root}")
+    return lines_of(spark, text, root)
+
+
 def tag_lines(lines: DataFrame, fields=presets.KEY_FIELDS) -> DataFrame:
     """The named text fields of every line, and whether the line is one JSON object.
 

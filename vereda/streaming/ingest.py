@@ -50,16 +50,17 @@ def decode_places(messages: DataFrame) -> DataFrame:
 
 def refine_series(records: DataFrame, as_of=None) -> DataFrame:
     """Drop points without a value; add date parts, processing time and category."""
-    return (
-        records.filter(F.col("valor").isNotNull())
-        .withColumn("data_ref", day_first_date(F.col("data_ref")))
-        .withColumns({
-            "ano": F.year("data_ref"),
-            "mes": F.month("data_ref"),
-            "processado_em": stamp(as_of),
-            "categoria": labels.classify_series(F.col("serie_nome")),
-        })
-    )
+    return described_series(records.filter(F.col("valor").isNotNull()), as_of)
+
+
+def described_series(records: DataFrame, as_of=None) -> DataFrame:
+    """Series records with date parts, processing time and category."""
+    return records.withColumn("data_ref", day_first_date(F.col("data_ref"))).withColumns({
+        "ano": F.year("data_ref"),
+        "mes": F.month("data_ref"),
+        "processado_em": stamp(as_of),
+        "categoria": labels.classify_series(F.col("serie_nome")),
+    })
 
 
 def refine_places(records: DataFrame, as_of=None) -> DataFrame:
