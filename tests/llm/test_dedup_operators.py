@@ -330,6 +330,33 @@ def test_urls(spark):
     assert urls.judge_urls(pages, outcomes.limit(0)).filter("verdict = 'block'").count() == 3
 
 
+def test_host_levels(spark):
+    cases = [("a.b.example.com", "example.com", "com"), ("x.shop.co.uk:8080", "shop.co.uk", "co.uk"),
+             ("co.uk", "co.uk", "co.uk"), ("me:pw@www.site.org:80", "site.org", "org"), ("10.1.2.3:99", "10.1.2.3", "[]"),
+             ("[2001:db8::1]:80", "[2001:db8::1]", "[]"), ("localhost", "localhost", "localhost"), ("", "", "")]
+    frame = spark.createDataFrame([(host,) for host, *_ in cases], "host string")
+    rows = frame.select("host", *urls.host_levels(F.col("host"))).collect()
+    assert sorted(map(tuple, rows)) == sorted(cases)
+
+
+def test_a_blocked_host_is_the_same_in_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    spark.range(0, 400).selectExpr(
+        "id AS page_id", "concat('http://', element_at(array('bad.example.com', 'good.example.com', 'x.org', "
+        "'a.net', 'b.example.net'), CAST(id % 5 + 1 AS INT)), '/en/', id * 7, '?q') AS url", "'h' AS html"
+    ).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.range(0, 2800).selectExpr(
+        "id AS doc_id", "CAST(CASE WHEN id % 7 = 0 AND (id / 7) % 5 = 0 THEN 0 ELSE 1 END AS INT) AS quality", "0 AS toxic"
+    ).write.parquet(f"{tmp_path}/labels.parquet")
+    ours = sorted(map(tuple, queries.op7_url_filters(spark, str(tmp_path)).collect()))
+    database = duckdb.connect()
+    for name in ("pages", "labels"):
+        database.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert ours == sorted(database.execute(queries.ORACLES["op7_url_filters"]).fetchall())
+    by_method = {row[1] for row in ours if row[3] is None and row[4] == "block"}
+    assert by_method == {"bad.example.com"}
+
+
 def test_outcomes_follow_the_document_of_the_path(spark, tmp_path):
     tails = ["", "/", ".html", "#top", "?page=2&ref=x"]
     rows = [(i, f"http://{'bad' if i < 40 else 'good'}.com/en/{9000 + i // 2}{tails[i % 5]}") for i in range(80)]

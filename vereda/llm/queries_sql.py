@@ -30,7 +30,9 @@ WITH split AS (
     SELECT page_id,
         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
             'abcdefghijklmnopqrstuvwxyz') AS host,
-        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+        TRY_CAST(regexp_extract(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1),
+            '^/[a-z]{2}/([0-9]+)(?:/|\.html)?$', 1) AS BIGINT) AS shown
     FROM split
 ), outcomes AS (
     SELECT doc_id, count(bad) AS n, sum(bad) AS b FROM (
@@ -42,7 +44,7 @@ WITH split AS (
         CASE WHEN len(string_split(host, '.')) <= 2 THEN host
             ELSE array_to_string(string_split(host, '.')[-2:], '.') END AS domain,
         string_split(host, '.')[-1] AS suffix
-    FROM parts LEFT JOIN outcomes ON page_id = doc_id GROUP BY host
+    FROM parts LEFT JOIN outcomes ON shown = doc_id GROUP BY host
 ), domains AS (
     SELECT domain, suffix, sum(n) AS n, sum(b) AS b FROM hosts GROUP BY ALL
 ), suffixes AS (

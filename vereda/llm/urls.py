@@ -14,6 +14,11 @@ RULES = [
     ("org/fr/", "org", "/fr/", "allow"),
     ("net/", "net", "/", "block"),
 ]
+# Suffixes of two labels below which domains are registered.
+SUFFIXES = [
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.in", "co.jp", "co.kr",
+    "co.nz", "co.za", "com.ar", "com.br", "com.cn", "com.mx", "com.tr",
+]
 Z = 1.645  # one-sided 95 % bound
 LIMIT = 0.5  # a host whose bad rate is above this, by its lower bound, is blocked
 WEAKEST, STRONGEST = 1.0, 10000.0  # range of the prior's weight in pages
@@ -31,6 +36,22 @@ def split_url(url):
     return host, path
 
 
+def host_levels(host, suffixes=SUFFIXES):
+    """Registered domain and suffix of a host, without user part and port.
+
+    The suffix is the last label, or the last two where ``suffixes`` lists them, and the domain
+    has one label more. An address is its own domain, under a suffix of all addresses.
+    """
+    bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), r":[0-9]*$", "")
+    address = bare.rlike(r"^([0-9]+\.){3}[0-9]+$") | bare.startswith("[")
+    wide = F.substring_index(bare, ".", -2).isin(list(suffixes))
+    domain = F.when(address, bare).otherwise(
+        F.when(wide, F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
+    )
+    last = F.when(wide, F.substring_index(bare, ".", -2)).otherwise(F.substring_index(bare, ".", -1))
+    return domain, F.when(address, F.lit("[]")).otherwise(last)
+
+
 def document_of(path):
     """The number of the document that a path such as /en/7817.html shows, else null."""
     number = F.regexp_extract(path, r"^/[a-z]{2}/([0-9]+)(?:/|\.html)?$", 1)
@@ -95,9 +116,9 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z=Z, key="page_id") -
             F.coalesce(F.sum(F.expr("_pages * _n")), F.lit(0)).alias("n"),
             F.coalesce(F.sum(F.expr("_pages * _b")), F.lit(0)).alias("b"),
         )
-        .withColumn("domain", F.substring_index("host", ".", -2))
-        .withColumn("suffix", F.substring_index("host", ".", -1))
     )
+    domain, suffix = host_levels(F.col("host"))
+    hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
     whole = suffixes.agg(((F.sum("b") + 1) / (F.sum("n") + 2)).alias("prior"))
@@ -124,7 +145,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, limit=LIMIT, rules=RULES,
 
     A null url, or one without ``://``, has an empty host and path and is judged as host ''.
     Repeated rows are all returned, each with the same verdict. A null key has no
-    outcome. An empty table gives no rows; without outcomes nothing is blocked but by rule.
+    outcome. A very long url is one string like any other. An empty table gives no rows; without outcomes nothing is blocked but by rule.
     Other columns of ``pages``, the html among them, are not read.
     """
     host, path = split_url(F.col("url"))
