@@ -12,8 +12,8 @@ It is never changed afterwards, so every phrase is counted for exactly one cycle
 two phrases share makes some phrases active that need not be, never the other way round.
 
 A phrase that reaches the threshold in all shards together reaches a shard's share of it in one
-of them. So only phrases with such a scan are summed over the scans; the others, nearly all,
-are written once and not shuffled again.
+of them. So only phrases with such a scan, and few that share a slot with one, are summed over
+the scans; the others, nearly all, are written once and not shuffled again.
 
 Phrases are told apart by 61 bits of their words' hashes, and the length; the words themselves
 are read in a last scan, for candidates only.
@@ -235,12 +235,31 @@ def _union(tables):
     return whole
 
 
-def _reached(scans, strong, fewest):
-    """``key, n`` of the phrases that reach the threshold over the scans."""
-    several = _union(scans).join(_union(strong), "key", "left_semi")
+def _only(marked, bits):
+    """The rows whose key has its slot marked."""
+    def run(batches):
+        table = np.frombuffer(marked.value, np.uint8)
+        for batch in batches:
+            keys = batch["key"].to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(table[_other_slot(keys, bits)] > 0))
+
+    return run
+
+
+def _reached(scans, strong, fewest, bits):
+    """``key, n`` of the phrases that reach the threshold over the scans.
+
+    Only keys in a slot of ``strong`` are summed, by a table of fixed size: a join would deal
+    out all phrases of the scans again, as their number is beyond a broadcast.
+    """
+    several = _union(scans).mapInArrow(_only(strong, bits), "key bigint, n bigint")
     return several.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= fewest)
 
 
+def _low_slot(bits):
+    return F.shiftrightunsigned("key", 3).bitwiseAND(F.lit((1 << bits) - 1))
+
+
 def count_phrases(shards: list, fewest=FEWEST, bits=SLOT_BITS):
     """``key, n`` of all phrases that occur ``fewest`` times, and of all words by language.
 
@@ -249,7 +268,7 @@ def count_phrases(shards: list, fewest=FEWEST, bits=SLOT_BITS):
     spark, cycle = shards[0].sparkSession, len(shards)
     share = -(-fewest // cycle)
     slots = np.full(1 << bits, NEVER, np.uint8)
-    scans, strong, turn = [], [], 0
+    scans, strong, turn = [], np.zeros(1 << bits, np.uint8), 0
     latest = 0  # the last boundary at which a phrase became active
     while turn < latest + cycle:
         held = spark.sparkContext.broadcast(slots.tobytes())
@@ -257,10 +276,12 @@ def count_phrases(shards: list, fewest=FEWEST, bits=SLOT_BITS):
             _scan(held, bits, turn, cycle), "key bigint, n bigint"
         ).groupBy("key").agg(F.sum("n").alias("n"))
         scans.append(park(found, f"scan-{turn}"))
-        strong.append(park(scans[-1].filter(F.col("n") >= share).select("key"), "strong"))
+        strong[_new_slots(scans[-1].filter(F.col("n") >= share), _low_slot(bits))[0]] = 1
         turn += 1
+        held.unpersist()
+        held = spark.sparkContext.broadcast(strong.tobytes())
         # What can still reach the threshold is counted in the scans of one cycle.
-        phrases = _reached(scans[-cycle:], strong[-cycle:], fewest).filter(
+        phrases = _reached(scans[-cycle:], held, fewest, bits).filter(
             F.col("key").bitwiseAND(F.lit(7)) > 0
         )
         new, length = _new_slots(phrases, F.shiftrightunsigned("key", 64 - bits))
@@ -269,7 +290,8 @@ def count_phrases(shards: list, fewest=FEWEST, bits=SLOT_BITS):
         if (length[unset] < LONGEST).any():
             latest = turn
         held.unpersist()
-    return park(_reached(scans, strong, fewest), "reached"), slots
+    held = spark.sparkContext.broadcast(strong.tobytes())
+    return park(_reached(scans, held, fewest, bits), "reached"), slots
 
 
 def _names(slots, bits):
@@ -340,13 +362,11 @@ def collocations(docs: DataFrame, lang="lang", text="text", fewest=FEWEST, best=
     spark = docs.sparkSession
     longer = known.filter(F.col("key").bitwiseAND(F.lit(7)) > 1)
     wanted = np.zeros(1 << bits, np.uint8)
-    place = F.shiftrightunsigned("key", 3).bitwiseAND(F.lit((1 << bits) - 1))
-    wanted[_new_slots(longer, place)[0]] = 1
+    wanted[_new_slots(longer, _low_slot(bits))[0]] = 1
     held = spark.sparkContext.broadcast((slots.tobytes(), wanted.tobytes()))
-    named = _union(parts).mapInArrow(_names(held, bits), _NAMED).join(
-        longer.withColumnRenamed("n", "a"), "key"
-    )
-    named = park(named.dropDuplicates(["key"]), "candidates")
+    # A candidate is named by every task that meets it; one row of each goes into the join.
+    named = _union(parts).mapInArrow(_names(held, bits), _NAMED).dropDuplicates(["key"])
+    named = park(named.join(longer.withColumnRenamed("n", "a"), "key"), "candidates")
 
     length = F.col("key").bitwiseAND(F.lit(7))
     # The longest proper parts; those of equal count lie inside this phrase at every occurrence.
