@@ -16,7 +16,7 @@ of them. So only phrases with such a scan, and few that share a slot with one, a
 the scans; the others, nearly all, are written once and not shuffled again.
 
 Phrases are told apart by 61 bits of their words' hashes, and the length; the words themselves
-are read in a last scan, for candidates only.
+are read at the end, for candidates only, from as much of the corpus as names them all.
 """
 
 import re
@@ -208,7 +208,7 @@ def _scan(slots, bits, turn, shards):
 
 
 def _shards(docs, lang, text, shards):
-    """The corpus in shards, each a table of its own: ``lang, text``."""
+    """The stored corpus, ``lang, text, shard``, a folder for each shard."""
     rows = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
         text_of(f"`{text}`").alias("text"),
@@ -216,8 +216,19 @@ def _shards(docs, lang, text, shards):
     path = new_folder(docs.sparkSession, "shards")
     number = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")
     rows.withColumn("shard", number).write.partitionBy("shard").parquet(path)
-    parked = docs.sparkSession.read.schema("lang string, text string, shard int").parquet(path)
-    return [parked.filter(F.col("shard") == at).select("lang", "text") for at in range(shards)]
+    return docs.sparkSession.read.schema("lang string, text string, shard int").parquet(path)
+
+
+def _portions(corpus):
+    """The stored corpus in parts: the files of one writing task, of three, of twelve and so on.
+
+    The condition is on file names alone, so files of other portions are not opened.
+    """
+    task = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
+    end = 1
+    while end <= 1 << 32:
+        yield corpus.filter((task >= end // 4) & (task < end)).select("lang", "text")
+        end *= 4
 
 
 def _new_slots(keys, place):
@@ -344,6 +355,26 @@ def _names(slots, bits):
 _NAMED = "key bigint, total bigint, lang string, phrase string, cuts array<struct<k: int, left: bigint, right: bigint>>"
 
 
+def _named(corpus, longer, slots, bits):
+    """``key, a`` of ``longer`` with the words, the language and the keys of the parts.
+
+    A frequent phrase is in nearly every task of a scan. So the corpus is read in portions that
+    grow, and each names only what none before it had; the work ends when all have a name.
+    """
+    spark, rest, found = corpus.sparkSession, longer.withColumnRenamed("n", "a"), []
+    for portion in _portions(corpus):
+        wanted = np.zeros(1 << bits, np.uint8)
+        wanted[_new_slots(rest, _low_slot(bits))[0]] = 1
+        if found and not wanted.any():
+            break
+        held = spark.sparkContext.broadcast((slots.tobytes(), wanted.tobytes()))
+        rows = portion.mapInArrow(_names(held, bits), _NAMED).dropDuplicates(["key"])
+        found.append(park(rows.join(rest, "key"), "named"))
+        rest = park(rest.join(found[-1].select("key"), "key", "left_anti"), "unnamed")
+        held.unpersist()
+    return _union(found)
+
+
 def collocations(docs: DataFrame, lang="lang", text="text", fewest=FEWEST, best=BEST,
                  shards=SHARDS, bits=SLOT_BITS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's ``best`` phrases by score.
@@ -357,16 +388,11 @@ def collocations(docs: DataFrame, lang="lang", text="text", fewest=FEWEST, best=
     count each; very long texts are read in parts of a megabyte. Other columns are not read. An
     empty table, or one without frequent phrases, gives no rows.
     """
-    parts = _shards(docs, lang, text, shards)
-    known, slots = count_phrases(parts, fewest, bits)
-    spark = docs.sparkSession
-    longer = known.filter(F.col("key").bitwiseAND(F.lit(7)) > 1)
-    wanted = np.zeros(1 << bits, np.uint8)
-    wanted[_new_slots(longer, _low_slot(bits))[0]] = 1
-    held = spark.sparkContext.broadcast((slots.tobytes(), wanted.tobytes()))
-    # A candidate is named by every task that meets it; one row of each goes into the join.
-    named = _union(parts).mapInArrow(_names(held, bits), _NAMED).dropDuplicates(["key"])
-    named = park(named.join(longer.withColumnRenamed("n", "a"), "key"), "candidates")
+    corpus = _shards(docs, lang, text, shards)
+    known, slots = count_phrases(
+        [corpus.filter(F.col("shard") == at).select("lang", "text") for at in range(shards)], fewest, bits
+    )
+    named = _named(corpus, known.filter(F.col("key").bitwiseAND(F.lit(7)) > 1), slots, bits)
 
     length = F.col("key").bitwiseAND(F.lit(7))
     # The longest proper parts; those of equal count lie inside this phrase at every occurrence.
