@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from vereda import presets
+from vereda.errors import NotReady
 from vereda.operators import forest
 from vereda.plans import anomalies, serve
 from vereda.session import new_folder, park
 from vereda.sinks import files
+from vereda.streaming import scoring
 
 DAY = datetime.date(2024, 6, 30)
 FEATURES = ["a", "b"]
@@ -160,6 +162,41 @@ def test_copies_in_a_hot_series(spark):
     assert scored.count() == 3000 and scored.filter("s IS NULL").isEmpty()
 
 
+def test_samples_of_counted_copies(spark):
+    """Many copies of one point on one day: no window over the day, and each copy can be drawn."""
+    one = spark.range(25_000).select(
+        F.lit(1.0).alias("a"), F.lit(2.0).alias("b"), F.lit("g").alias("g"), F.lit("0").alias("k"))
+    points = park(one.unionByName(one.limit(5).withColumn("a", F.lit(3.0))))
+    drawn = forest.draw_samples(points, "g", "k", FEATURES, 20, 64)
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
+    sizes = drawn.groupBy("arvore").count().collect()
+    assert len(sizes) == 20 and {r["count"] for r in sizes} == {64}
+    rare = park(forest.draw_samples(points, "g", "k", FEATURES, 20, 25_004))
+    assert rare.filter("a = 3.0").count() >= 20 * 4 and rare.count() == 20 * 25_004
+
+
+def test_versioned_job(spark):
+    points, root = indicators(spark, {"a": 40, "curta": 10}, ("a", 20)), new_folder(spark, "versoes")
+    with pytest.raises(NotReady):
+        files.current_version(spark, root)
+    assert anomalies.run_versioned(points, root, DAY, trees=10)
+    first = files.current_version(spark, root)
+    opened = spark.read.parquet(f"{first}/resultados")
+    assert not anomalies.run_versioned(points.filter("serie_nome = 'curta'"), root, DAY, trees=10)
+    assert files.current_version(spark, root) == first
+    assert anomalies.run_versioned(points.filter("ano > 2000"), root, DAY, trees=10)
+    second = files.current_version(spark, root)
+    assert second != first and opened.count() == 40
+    assert spark.read.parquet(f"{second}/resultados").count() == 28
+    assert spark.read.json(f"{second}/relatorio/totais").first().total_registros == 28
+    scored = scoring.score_points(points, f"{first}/modelos")
+    assert scored.filter("_score IS NULL").select("serie_nome").distinct().collect() == [("curta",)]
+    again = scored.join(opened, ["serie_nome", "data_ref"]).filter(
+        F.bround("_score", 4) != F.col("anomalia_score"))
+    assert scored.count() == 50 and again.isEmpty()
+
+
 def test_report_and_serving(spark, tmp_path):
     points = indicators(spark, {"IPCA": 80, "b": 60}, ("IPCA", 40))
     results = park(anomalies.detect_all(points, DAY, trees=20))

@@ -77,12 +77,22 @@ def test_only_single_objects_are_whole(spark):
         '{"codigo_ibge": "1"} junk}': False, '{"a": 1}{"b": 2}': False, '{"a": 1},{"b": 2}': False,
         '{"a": 1}] {"b": 2}': False, '{"a": 1}} {"b": 2}': False, "{'codigo_ibge': '3'}": False,
         '{"a": 1': False, "[1]": False, "3": False, '{"a": 1}, "b": {"c": 2}': False, "{}": True,
+        '{"a": 1}],"x":[{}': False, '{"a": 1}],"linha":[{}': False, '{"a": 1}]}junk}': False,
+        '{"a": 1}],"0":[]} {}': False, '{"codigo_ibge": "1", "codigo_ibge": "2"}': True, '"{}"': False,
+        "null": False, "{}}": False, "[{}]": False, '[1],{"a": {}}': False, '{"a": }': False,
     }
     lines = spark.createDataFrame([("f", "bcb", line) for line in cases], "arquivo string, fonte string, linha string")
     got = {r.linha: r.inteira for r in jsonl.tag_lines(lines).collect()}
     assert got == cases
 
 
+def test_a_line_is_parsed_once(spark):
+    lines = spark.createDataFrame([("f", "bcb", '{"codigo_ibge": "1"}')], "arquivo string, fonte string, linha string")
+    sent = topics.to_messages(jsonl.parse_lines(lines)[0], topics.topic_map(spark))
+    plan = sent._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and sent.first().key == "1"
+
+
 def test_paths_that_need_escapes(spark, tmp_path):
     root = tmp_path / "com espaço 100%+a"
     write(root, "fonte=bcb/cidade=São Paulo/dados 1.jsonl", '{"codigo_ibge": "1"}\n')

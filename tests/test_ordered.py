@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from vereda.operators import ordered
+from vereda.session import park
 from vereda.plans import silver
 
 
@@ -136,6 +137,29 @@ def test_group_quantile(spark, points):
         assert found[group] == pytest.approx(value, abs=1e-12)
 
 
+def test_quantile_of_ties_nulls_and_a_missed_bracket(spark):
+    rows = [("a", 1.0)] * 500 + [("a", 2.0)] * 500 + [(None, 3.0), ("b", None), ("c", 5.0), ("c", 6.0)]
+    df = park(spark.createDataFrame(rows, "g string, x double"))
+    for share, accuracy in ((0.05, 10_000), (0.5, 10_000), (0.4995, 50), (0.0, 10_000), (1.0, 10_000)):
+        found = {r.g: r.limite for r in ordered.group_quantile(df, ["g"], "x", share, accuracy=accuracy).collect()}
+        wanted = {"a": np.quantile([1.0] * 500 + [2.0] * 500, share), "c": 5 + share, None: 3.0}
+        assert found == pytest.approx(wanted, abs=1e-9)
+    brackets = park(ordered.quantile_brackets(df.filter("x IS NOT NULL"), ["g"], "x", 0.05))
+    off = brackets.withColumns({"_from": F.lit(7.0), "_to": F.lit(8.0)})
+    picked = ordered._select_quantile(df.filter("x IS NOT NULL"), off, ["g"], "x", 0.05).collect()
+    assert len(picked) == 3 and all(r._missed for r in picked)
+
+
+def test_quantile_of_a_long_group_orders_few_rows(spark):
+    """Ten million rows of one series: the bracket has less than one row in a thousand."""
+    size = 10_000_000
+    df = park(spark.range(0, size, 1, 8).select(
+        F.lit("s").alias("g"), ((F.col("id") * 7_368_787) % size).cast("double").alias("x")))
+    bracket = ordered.quantile_brackets(df, ["g"], "x", 0.05).first()
+    assert bracket._to - bracket._from < size / 1000
+    assert ordered.group_quantile(df, ["g"], "x", 0.05).first().limite == pytest.approx((size - 1) * 0.05)
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, at int, x double")
     assert ordered.ordered_windows(df, ["g"], [F.col("at")], {"p": ("x", 1)}).count() == 0

@@ -19,6 +19,7 @@ from vereda.session import park
 
 BLOCK_ROWS = 100_000
 SAMPLES_PER_TASK = 200_000
+COPIES = 10_000
 
 EULER = 0.5772156649015329
 _ID = "_linha"
@@ -42,27 +43,34 @@ def draw_samples(points: DataFrame, group, key, features, trees=presets.TREES,
     Every row draws a hash for every tree, and a tree takes the rows with the smallest. Only
     draws that can be among them become rows: at first enough for twelve deviations more than
     wanted, so a group yields a bounded number of rows however long it is. Hashes are of the
-    row's content and a number for copies, so the file layout does not matter. ``points`` has
+    row's content and a number for copies, so the file layout does not matter. Copies are
+    counted in the tasks and numbered from their count, in blocks of ``COPIES`` that are dealt
+    out, so neither a day of many rows nor a point of many copies is one task. ``points`` has
     to be a stored table.
     """
-    rows = group_stats(
-        points.select(group, key, *features, _ID), [group], _n=F.count(F.lit(1))
-    ).withColumn("_psi", F.least("_n", F.lit(max_samples)))
-    same = Window.partitionBy(group, key).orderBy(*features, _ID)
+    counted = points.groupBy(group, key, *features).agg(F.count(F.lit(1)).alias("_copias"))
+    blocks = counted.withColumn(
+        "_bloco", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copias - 1) div {COPIES}")))
+    ).repartition(group, key, *features, "_bloco")
+    sizes = points.groupBy(F.col(group).alias("_de")).agg(F.count(F.lit(1)).alias("_n"))
+    first = F.col("_bloco") * COPIES + 1
+    copies = F.sequence(first, F.least(F.col("_copias"), first + (COPIES - 1)))
     share = (F.col("_psi") + F.lit(12.0) * F.sqrt("_psi") + F.lit(40.0)) / F.col("_n")
 
     def draw(tree):
-        drawn = F.xxhash64(F.lit(seed), F.col(group), F.col(key), F.col("_copia"), tree)
-        return drawn.bitwiseAND(F.lit((1 << 63) - 1))
+        return F.xxhash64("_marca", "_copia", tree).bitwiseAND(F.lit((1 << 63) - 1))
 
     able = F.filter(
         F.sequence(F.lit(1), F.lit(trees)),
         lambda tree: draw(tree).cast("double") <= F.col("_share") * F.lit(float(1 << 63)),
     )
-    by_tree = Window.partitionBy(group, "arvore").orderBy("_ordem", key, "_copia")
+    by_tree = Window.partitionBy(group, "arvore").orderBy("_ordem", key, *features, "_copia")
     return (
-        rows.withColumn("_copia", F.row_number().over(same))
+        blocks.join(sizes, F.col(group).eqNullSafe(F.col("_de")))
+        .withColumn("_psi", F.least("_n", F.lit(max_samples)))
         .withColumn("_share", F.least(share, F.lit(1.0)))
+        .withColumn("_marca", F.xxhash64(F.lit(seed), group, key, *features))
+        .withColumn("_copia", F.explode(copies))
         .withColumn("arvore", F.explode(able))
         .withColumn("_ordem", draw(F.col("arvore")))
         .withColumn("_vez", F.row_number().over(by_tree))
@@ -161,9 +169,8 @@ def fit_forest(points: DataFrame, group, key, features, trees=presets.TREES,
     The samples, a bounded number of rows per group, are stored: adaptive execution would
     otherwise plan all levels again after each step of the sampling.
     """
-    numbered = points.withColumn(_ID, F.monotonically_increasing_id())
     samples = park(
-        draw_samples(numbered, group, key, features, trees, max_samples, seed), "samples"
+        draw_samples(points, group, key, features, trees, max_samples, seed), "samples"
     )
     check_samples(samples, group)
     largest = min(max_samples, largest_group(points, [group]))

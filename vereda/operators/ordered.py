@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vereda.session import park
 
 ROWS_PER_TASK = 1_000_000
+ACCURACY = 10_000
 
 _TASK_BITS = 33  # monotonically_increasing_id keeps the row number of a task in the low bits
 
@@ -199,41 +200,93 @@ def percent_ranks(df: DataFrame, value, column="percentil", counted=None,
     return df.join(ranked, df[value].eqNullSafe(ranked["_value"])).drop("_value")
 
 
-def group_quantile(df: DataFrame, group, value, share, column="limite",
-                   stable=False) -> DataFrame:
-    """Exact, linearly interpolated quantile of ``value`` by group, nulls left out."""
-    known = df.filter(F.col(value).isNotNull()).select(*group, value)
-    placed = place_rows(known, [*map(F.col, group), F.col(value)], stable)
-    spans = placed.groupBy(*group).agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows")
+def quantile_brackets(known: DataFrame, group, value, share, accuracy=ACCURACY) -> DataFrame:
+    """Values ``_from`` to ``_to`` between which each group's quantile is, and its ``_rows``.
+
+    A sketch, merged from the tasks, gives values whose rank is off by at most one row in
+    ``accuracy``. The narrowest margin is taken that covers this and the two rows the quantile
+    lies between, so a long group has a bracket of about eight rows in ``accuracy``.
+    """
+    margins = [3.0 / accuracy, 0.002, 0.02, 0.2]
+    ends = [min(max(share + side * margin, 0.0), 1.0) for margin in margins for side in (-1, 1)]
+    measured = known.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_least"), F.max(value).alias("_most"),
+        F.percentile_approx(value, ends, accuracy).alias("_ends"),
     )
-    at = (F.col("_rows") - 1) * F.lit(share)
-    wanted = spans.select(
-        *group,
-        (at - F.floor(at)).alias("_part"),
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), (F.col("_first") + F.floor(at)).alias("row")),
-            F.struct(F.lit(1).alias("side"), (F.col("_first") + F.ceil(at)).alias("row")),
-        )).alias("_pick"),
+    needed = F.lit(2.0 / accuracy) + F.lit(2.0) / F.col("_rows")
+    low, high = F.col("_least"), F.col("_most")
+    for at, margin in reversed(list(enumerate(margins))):
+        fits = needed <= margin
+        below = F.get("_ends", F.lit(2 * at)) if share > margin else F.col("_least")
+        above = F.get("_ends", F.lit(2 * at + 1)) if share + margin < 1 else F.col("_most")
+        low, high = F.when(fits, below).otherwise(low), F.when(fits, above).otherwise(high)
+    return measured.select(*group, "_rows", "_least", "_most", low.alias("_from"), high.alias("_to"))
+
+
+def _by_group(known, few, group):
+    """``few``, one row a group, under other names, and the condition that joins it."""
+    renamed = few.withColumnsRenamed({name: f"_by_{name}" for name in group})
+    condition = F.lit(True)
+    for name in group:
+        condition = condition & known[name].eqNullSafe(renamed[f"_by_{name}"])
+    return renamed, condition
+
+
+def _select_quantile(known, brackets, group, value, share):
+    """``_low, _high, _part`` of each group, and whether its bracket ``_missed`` the quantile."""
+    few, same = _by_group(known, brackets, group)
+    # Values are counted in the tasks; all below the bracket are one, which is null.
+    inside = known.join(few, same).filter(F.col(value) <= F.col("_to")).groupBy(
+        *group, "_rows", F.when(F.col(value) >= F.col("_from"), F.col(value)).alias("_found")
+    ).agg(F.count(F.lit(1)).alias("_copies"))
+    summed = ordered_windows(
+        inside, group, [F.col("_found").asc_nulls_first()], running={"_upto": ("_copies", [])}
     )
-    picked = wanted.join(
-        placed.select(F.col("_row"), F.col(value).alias("_found")),
-        F.col("_pick.row") == F.col("_row"),
+    at = (F.col("_rows") - 1) * F.lit(share)
+    under = F.max(F.when(F.col("_found").isNull(), F.col("_upto")))
+    return summed.groupBy(*group).agg(
+        F.min(F.when(F.col("_upto") > F.floor(at), F.col("_found"))).alias("_low"),
+        F.min(F.when(F.col("_upto") > F.ceil(at), F.col("_found"))).alias("_high"),
+        F.max(at - F.floor(at)).alias("_part"),
+        (F.coalesce(under > F.max(F.floor(at)), F.lit(False))
+         | (F.max("_upto") <= F.max(F.ceil(at)))).alias("_missed"),
     )
-    low = F.max(F.when(F.col("_pick.side") == 0, F.col("_found")))
-    high = F.max(F.when(F.col("_pick.side") == 1, F.col("_found")))
-    part = F.max("_part")
+
+
+def group_quantile(df: DataFrame, group, value, share, column="limite", accuracy=ACCURACY) -> DataFrame:
+    """Exact, linearly interpolated quantile of ``value`` by group, nulls left out.
+
+    One pass finds a bracket for each group, a second counts the values in it, and only these
+    are put in order. A group whose bracket does not hold the quantile after all is searched
+    whole. ``df`` has to be stored: it is read twice.
+    """
+    known = df.filter(F.col(value).isNotNull()).select(*group, value)
+    brackets = park(quantile_brackets(known, group, value, share, accuracy), "brackets")
+    found = park(_select_quantile(known, brackets, group, value, share), "quantiles")
+    if not found.filter("_missed").isEmpty():
+        again, same = _by_group(brackets, found.filter("_missed").select(*group), group)
+        wide = brackets.join(again, same, "left_semi").withColumns(
+            {"_from": F.col("_least"), "_to": F.col("_most")}
+        )
+        found = found.filter("NOT _missed").unionByName(
+            _select_quantile(known, wide, group, value, share)
+        )
+    low, high, part = F.col("_low"), F.col("_high"), F.col("_part")
     between = F.when(low == high, low).otherwise(low * (F.lit(1.0) - part) + high * part)
-    return picked.groupBy(*group).agg(between.alias(column))
+    return found.select(*group, between.alias(column))
+
 
+def group_stats(df: DataFrame, group, source=None, **stats) -> DataFrame:
+    """Attach aggregates of the row's group, measured on ``source`` if given.
 
-def group_stats(df: DataFrame, group, **stats) -> DataFrame:
-    """Attach aggregates of the row's group.
+    ``source`` is a stored frame with the same rows, for a ``df`` that would be computed twice.
 
     The aggregate has one row per group after map-side partials; the join back is left to
     adaptive execution, which broadcasts a small side and splits a skewed one.
     """
-    by_group = df.groupBy(*[F.col(name).alias(f"_by_{name}") for name in group]).agg(
+    by_group = (df if source is None else source).groupBy(
+        *[F.col(name).alias(f"_by_{name}") for name in group]
+    ).agg(
         *[aggregate.alias(name) for name, aggregate in stats.items()]
     )
     condition = F.lit(True)

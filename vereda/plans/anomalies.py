@@ -26,7 +26,7 @@ def distinct_series(points: DataFrame) -> DataFrame:
 
 
 def min_history(points: DataFrame, least=presets.MIN_HISTORY) -> DataFrame:
-    """Points of series that have at least ``least`` of them."""
+    """Points of series that have at least ``least`` of them. ``points`` has to be stored."""
     counted = group_stats(points, [SERIES], _pontos=F.count(F.lit(1)))
     return counted.filter(F.col("_pontos") >= least).drop("_pontos")
 
@@ -39,7 +39,10 @@ def fill_zero(points: DataFrame, features=presets.FEATURES) -> DataFrame:
 
 
 def zscore(points: DataFrame, features=presets.FEATURES) -> DataFrame:
-    """Features standardised by series as ``z_*``, 0 where a feature is constant."""
+    """Features standardised by series as ``z_*``, 0 where a feature is constant.
+
+    ``points`` has to be stored: it is read twice.
+    """
     filled = fill_zero(points, features)
     stats = {}
     for name in features:
@@ -57,17 +60,23 @@ def zscore(points: DataFrame, features=presets.FEATURES) -> DataFrame:
     )
 
 
-def minmax_100(points: DataFrame, score, column="anomalia_score_norm") -> DataFrame:
-    """Score scaled to 0-100 by series; null where all scores are equal."""
-    measured = group_stats(points, [SERIES], _low=F.min(score), _high=F.max(score))
+def minmax_100(points: DataFrame, score, column="anomalia_score_norm", source=None) -> DataFrame:
+    """Score scaled to 0-100 by series; null where all scores are equal.
+
+    ``source`` is a stored frame with the same scores, where ``points`` is computed.
+    """
+    measured = group_stats(points, [SERIES], source, _low=F.min(score), _high=F.max(score))
     scaled = F.try_divide(F.col(score) - F.col("_low"), F.col("_high") - F.col("_low"))
     return measured.withColumn(column, F.bround(scaled * F.lit(100.0), 1)).drop("_low", "_high")
 
 
 def contamination_threshold(points: DataFrame, score, share=presets.CONTAMINATION,
-                            column="anomalia", stable=False) -> DataFrame:
-    """Flag scores strictly below the ``share`` quantile of their series."""
-    limits = group_quantile(points, [SERIES], score, share, "_limite", stable).select(
+                            column="anomalia") -> DataFrame:
+    """Flag scores strictly below the ``share`` quantile of their series.
+
+    ``points`` has to be stored: it is read several times.
+    """
+    limits = group_quantile(points, [SERIES], score, share, "_limite").select(
         F.col(SERIES).alias("_serie"), "_limite"
     )
     joined = points.join(limits, F.col(SERIES).eqNullSafe(F.col("_serie")), "left")
@@ -80,8 +89,8 @@ def grade(scored: DataFrame, score) -> DataFrame:
 
     ``scored`` has to be stored: it is read several times.
     """
-    flagged = contamination_threshold(scored, score, stable=True)
-    scaled = minmax_100(flagged, score)
+    flagged = contamination_threshold(scored, score)
+    scaled = minmax_100(flagged, score, source=scored)
     return scaled.withColumns({
         "anomalia_score": F.bround(F.col(score), 4),
         "severidade": labels.severity_bucket(F.col("anomalia_score_norm"), F.col("anomalia")),
@@ -96,7 +105,8 @@ def score_series(indicators: DataFrame, trees=presets.TREES, max_samples=presets
     not change the forest and the features go in unscaled.
     """
     features = [f"_{name}" for name in presets.FEATURES]
-    points = park(fill_zero(min_history(enough_history(indicators), least)), "points")
+    history = park(enough_history(indicators), "history")
+    points = park(fill_zero(min_history(history, least)), "points")
     forest = park(
         fit_forest(points, SERIES, "data_ref", features, trees, max_samples, seed), "forest"
     )
@@ -128,6 +138,28 @@ def run_job(indicators: DataFrame, table, models_path, report_path, as_of=None,
     return True
 
 
+def run_versioned(indicators: DataFrame, root, as_of=None, **options) -> bool:
+    """Detect, then publish results, forests and report as one version below ``root``.
+
+    Readers of ``files.current_version`` have all three of one run, also while a run writes or
+    after one that failed. False, and nothing published, if no series has enough history.
+    """
+    scored, forest = score_series(indicators, **options)
+    results = park(grade(scored, "_score").select(
+        *RESULT_COLUMNS, stamp(as_of).alias("detectado_em")
+    ), "resultados")
+    if results.isEmpty():
+        return False
+
+    def write(folder):
+        results.write.parquet(f"{folder}/resultados")
+        files.persist_forest(forest, f"{folder}/modelos")
+        write_summary(results, f"{folder}/relatorio", as_of)
+
+    files.publish_version(indicators.sparkSession, root, write)
+    return True
+
+
 def write_summary(anomalies: DataFrame, path, as_of=None) -> None:
     """The report as JSON: totals below ``totais``, one object per series below ``por_serie``."""
     totals = report_totals(anomalies).withColumn("gerado_em", stamp(as_of))

@@ -19,7 +19,7 @@ from vereda.plans import anomalies, gold, serve, silver
 from vereda.session import fixed_table, new_folder, park
 from vereda.sinks import files, topics
 from vereda.sources import jsonl, lake, payloads
-from vereda.streaming import ingest, publish as publishing
+from vereda.streaming import ingest, publish as publishing, scoring
 
 # The clock of the derived data: orders end in 2001, events in January 2024.
 ORDERS_DAY = datetime.date(2001, 8, 31)
@@ -131,7 +131,7 @@ def part_points(spark, sf_dir):
 
 
 def monthly_silver(spark, sf_dir):
-    return silver.silver_indicators(monthly_points(spark, sf_dir), ORDERS_DAY)
+    return silver.silver_indicators(monthly_points(spark, sf_dir), ORDERS_DAY, stable=True)
 
 
 def monthly_table(spark, sf_dir):
@@ -666,18 +666,18 @@ def flagged_events(spark, sf_dir):
 
 
 def flagged_months(spark, sf_dir):
-    points = anomalies.min_history(silver.enough_history(monthly_silver(spark, sf_dir)))
-    scored = points.withColumn("_score", F.col("variacao_absoluta"))
+    months = park(silver.enough_history(monthly_silver(spark, sf_dir)), "historia")
+    scored = anomalies.min_history(months).withColumn("_score", F.col("variacao_absoluta"))
     return anomalies.grade(park(scored, "pontos"), "_score")
 
 
 def min_history(spark, sf_dir):
-    months = silver.silver_indicators(part_points(spark, sf_dir), ORDERS_DAY)
-    return anomalies.min_history(silver.enough_history(months))
+    months = silver.silver_indicators(part_points(spark, sf_dir), ORDERS_DAY, stable=True)
+    return anomalies.min_history(park(silver.enough_history(months), "historia"))
 
 
 def zscore(spark, sf_dir):
-    months = silver.enough_history(monthly_silver(spark, sf_dir))
+    months = park(silver.enough_history(monthly_silver(spark, sf_dir)), "historia")
     scaled = anomalies.zscore(months)
     return scaled.select(
         "serie_nome", "data_ref",
@@ -715,9 +715,61 @@ def anomaly_report(spark, sf_dir):
     )
 
 
+def score_new_points(spark, sf_dir):
+    """Every month arrives again, in two halves, and is scored with the stored forests."""
+    models, arrived, out, state = (
+        new_folder(spark, name) for name in ("modelos", "chegados", "notas", "progresso"))
+    months = monthly_table(spark, sf_dir)
+    _, forest = anomalies.score_series(months)
+    files.persist_forest(forest, models)
+    points = silver.enough_history(months)
+    for part in (points.filter("mes <= 6"), points.filter("mes > 6")):
+        part.write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(points.schema).parquet(arrived)
+        ingest.drain_streams(scoring.score_stream(stream, models, out, state, bounded=True))
+    scored = spark.read.parquet(out).filter(F.col(scoring.SCORE).isNotNull())
+    return scored.select(
+        "serie_nome", "data_ref", F.bround(scoring.SCORE, 4).alias("anomalia_score"))
+
+
 # Tables and views
 
 
+def publish_versions(spark, sf_dir):
+    """What readers see: a version opened before it is replaced, the one after a run that
+    failed midway, and the new one."""
+    root = new_folder(spark, "versoes")
+    graded = park(flagged_months(spark, sf_dir), "notas")
+    early = graded.filter("mes <= 6")
+
+    def tables(rows, fails=False):
+        def write(folder):
+            rows.write.parquet(f"{folder}/resultados")
+            if fails:
+                raise RuntimeError("stopped between two tables")
+            anomalies.report_by_series(rows).write.parquet(f"{folder}/por_serie")
+        return write
+
+    def seen(moment):
+        folder = files.current_version(spark, root)
+        points = spark.read.parquet(f"{folder}/resultados").groupBy("serie_nome").agg(
+            F.count(F.lit(1)).alias("pontos"))
+        report = spark.read.parquet(f"{folder}/por_serie").select("serie_nome", "total")
+        return points.join(report, "serie_nome").select(
+            F.lit(moment).alias("momento"), "serie_nome", "pontos", "total")
+
+    files.publish_version(spark, root, tables(graded))
+    opened = seen("aberta")
+    try:
+        files.publish_version(spark, root, tables(early, fails=True))
+    except RuntimeError as stopped:
+        if "between two tables" not in str(stopped):
+            raise
+    failed = seen("falha")
+    files.publish_version(spark, root, tables(early))
+    return opened.unionByName(failed).unionByName(seen("nova"))
+
+
 def anomaly_job(spark, sf_dir):
     """The whole job, and once more without enough history, which leaves the results alone."""
     months, name = monthly_table(spark, sf_dir), "ml_anomalias_dos_meses"
@@ -825,7 +877,7 @@ QUERIES = {
     "silver_indicators": lambda s, d: _columns(monthly_silver(s, d)),
     "silver_event_points": lambda s, d: _columns(event_silver(s, d)),
     "silver_part_points": lambda s, d: _columns(
-        silver.silver_indicators(part_points(s, d), ORDERS_DAY)),
+        silver.silver_indicators(part_points(s, d), ORDERS_DAY, stable=True)),
     "previous_value": _with_history(lambda: ["valor", "valor_anterior"]),
     "ytd_running_sum": _with_history(
         lambda: ["ano", F.round("soma_ano", 4).alias("soma_ano")]),
@@ -885,6 +937,7 @@ QUERIES = {
     "isolation_forest": lambda s, d: _columns(isolation_forest(s, d)),
     "isolation_forest_events": isolation_forest_events,
     "isolation_forest_parts": isolation_forest_parts,
+    "score_new_points": score_new_points,
     "top_anomalies": lambda s, d: anomalies.top_anomalies(flagged_months(s, d)),
     "anomaly_report": anomaly_report,
     "anomaly_job": anomaly_job,
@@ -892,6 +945,7 @@ QUERIES = {
     "report_totals": lambda s, d: anomalies.report_totals(flagged_events(s, d)),
     # Tables, views, clock
     "publish_table": publish_table,
+    "publish_versions": publish_versions,
     "publish_view": publish_view,
     "stamp_processed": stamp_processed,
     "latest_event_values": latest_event_values,

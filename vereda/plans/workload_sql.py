@@ -459,6 +459,7 @@ ORACLES = {
     "severity_bucket": _query(FLAGGED_EVENTS, "SELECT kafka_offset, severidade FROM resultados"),
     "isolation_forest": _forest(MONTHLY_SILVER),
     "isolation_forest_parts": _forest(PART_SILVER),
+    "score_new_points": f"SELECT serie_nome, data_ref, anomalia_score FROM ({_forest(MONTHLY_SILVER)})",
     "anomaly_report": _query([*FLAGGED_MONTHS, TOPS], """SELECT serie_nome, total, anomalias, pct,
       COALESCE(topo, '') AS topo FROM (
         SELECT serie_nome, COUNT(*) AS total, CAST(SUM(CAST(anomalia AS INT)) AS BIGINT) AS anomalias,
@@ -476,6 +477,9 @@ ORACLES = {
       CAST({TREES} AS BIGINT) AS arvores, CAST(LEAST(COUNT(*), 256) AS BIGINT) AS amostra
       FROM longos GROUP BY serie_nome"""),
     "publish_table": _query(MONTHLY_SILVER, "SELECT * FROM indicadores"),
+    "publish_versions": _query(FLAGGED_MONTHS, """SELECT momento, serie_nome, COUNT(*) AS pontos,
+      COUNT(*) AS total FROM resultados CROSS JOIN (VALUES ('aberta'), ('falha'), ('nova')) AS m(momento)
+      WHERE momento <> 'nova' OR mes <= 6 GROUP BY momento, serie_nome"""),
     "publish_view": _query(EVENTS, "SELECT kafka_offset, serie_nome, valor FROM pontos"),
     "stamp_processed": _query(PLACES, """SELECT codigo_ibge, '2001-08-31 00:00:00' AS processado_em
       FROM geografico"""),

@@ -1,8 +1,11 @@
 """JSON lines, model tables, reports and stored forests."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vereda import presets
+from vereda.errors import NotReady
 from vereda.session import park
 from vereda.sinks.topics import record_value
 
@@ -64,6 +67,41 @@ def replace_results(df: DataFrame, name: str, path=None) -> bool:
     return True
 
 
+def _markers(spark, root):
+    """The file system of ``root``, and the markers of its versions in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_publicadas")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.listStatus(path) if system.exists(path) else []
+    return system, sorted(entry.getPath().getName() for entry in found)
+
+
+def publish_version(spark: SparkSession, root: str, write) -> str:
+    """Write a new version below ``root`` and make it the current one; returns its folder.
+
+    ``write`` gets a folder nobody has used yet and writes all tables of the version there. Only
+    when it has returned does an empty file, made in one step, mark the version as published; its
+    name says all, so there is nothing in it to be read half written. Published versions are never
+    changed: who reads one goes on reading it while others are written, and a run that
+    fails leaves the current one as it is. Of two runs at once the later marker wins.
+    """
+    name = uuid.uuid4().hex
+    folder = f"{root}/versoes/{name}"
+    write(folder)
+    system, markers = _markers(spark, root)
+    number = int(markers[-1].split("-")[0]) + 1 if markers else 1
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_publicadas/{number:012d}-{name}")
+    system.create(marker, False).close()
+    return folder
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """Folder of the version that was published last."""
+    _, markers = _markers(spark, root)
+    if not markers:
+        raise NotReady(f"nothing has been published below {root}")
+    return f"{root}/versoes/{markers[-1].split('-')[1]}"
+
+
 def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 

@@ -6,7 +6,6 @@ from vereda import presets
 from vereda.functions.conversion import source_from_path
 
 SUFFIXES = ("jsonl", "txt")
-_BROKEN = "_quebrada"
 _STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
@@ -62,26 +61,29 @@ def scan_jsonl(spark: SparkSession, root: str, suffix=SUFFIXES) -> DataFrame:
 def tag_lines(lines: DataFrame, fields=presets.KEY_FIELDS) -> DataFrame:
     """The named text fields of every line, and whether the line is one JSON object.
 
-    The parser stops at the end of the object, so what follows is seen only with the line put
-    into an array and into an object: both are whole and the array has one element exactly
-    when the line is a single value.
+    A parser stops where the first value ends. So the line is put into a list, and the list into
+    an object whose second key is the digest of the line: that key is there, alone beside the
+    list, and the list has one element exactly when the line is a single value. To end the
+    wrapping early or to add to it, a line would have to hold its own digest. Lines that are not
+    whole have no fields. The line is parsed once.
     """
-    schema = ", ".join([f"{name} string" for name in fields] + [f"{_BROKEN} string"])
-    record = F.from_json(
-        "linha", schema, {**_STRICT, "columnNameOfCorruptRecord": _BROKEN}
+    digest = F.md5("linha")
+    record = ", ".join(f"{name}: string" for name in fields)
+    wrapped = F.concat(F.lit('{"linha":['), "linha", F.lit('],"'), digest, F.lit('":[]}'))
+    parsed = F.from_json(wrapped, f"map<string, array<struct<{record}>>>", _STRICT)
+    # A generated column: a filter on it cannot make Spark parse the line again.
+    held = lines.select("*", F.inline(F.array(F.struct(
+        parsed.alias("_partes"), F.array(F.lit("linha"), digest).alias("_chaves")
+    ))))
+    listed = F.get(F.map_values("_partes"), F.lit(0))
+    found = F.get(listed, F.lit(0))
+    whole = F.coalesce(
+        (F.map_keys("_partes") == F.col("_chaves")) & (F.size(listed) == 1) & found.isNotNull()
+        & F.rtrim("linha").endswith("}"), F.lit(False),
     )
-    listed = F.from_json(F.concat(F.lit("["), "linha", F.lit("]")), "array<string>", _STRICT)
-    wrapped = F.from_json(
-        F.concat(F.lit('{"valor":'), "linha", F.lit("}")), f"valor string, {_BROKEN} string",
-        {**_STRICT, "columnNameOfCorruptRecord": _BROKEN},
+    return held.withColumns({"_achado": F.when(whole, found), "inteira": whole}).select(
+        *lines.columns, *[F.col("_achado")[name].alias(name) for name in fields], "inteira"
     )
-    # Generated columns: a filter on them cannot make Spark parse the line again.
-    parsed = lines.select("*", F.inline(F.array(record)))
-    whole = (
-        F.col(_BROKEN).isNull() & F.rtrim("linha").endswith("}")
-        & (F.size(listed) == 1) & wrapped[_BROKEN].isNull()
-    )
-    return parsed.withColumn("inteira", F.coalesce(whole, F.lit(False))).drop(_BROKEN)
 
 
 def parse_lines(lines: DataFrame, fields=presets.KEY_FIELDS):
