@@ -1,6 +1,8 @@
 import datetime
 import json
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from vereda.plans import silver
@@ -79,3 +81,21 @@ def test_schema_union(spark):
     spark.range(2).select(F.lit(1).alias("a"), F.lit("x").alias("b")).write.parquet(f"{out}/p=2")
     rows = lake.scan_lake(spark, out)
     assert sorted((r.p, r.b) for r in rows.distinct().collect()) == [(1, None), (2, "x")]
+
+
+def test_a_logged_schema_spares_the_footers(spark):
+    path = new_folder(spark, "lago")
+    old = spark.range(3).withColumn("ano", F.lit(2020))
+    new = spark.range(2).select("id", F.lit("x").alias("nome"), F.lit(2021).alias("ano"))
+    old.write.partitionBy("ano").parquet(path)  # before there was a log
+    for rows in (new, old):
+        lake.log_schema(spark, path, rows.schema)
+        rows.write.mode("append").partitionBy("ano").parquet(path)
+    found = lake.scan_lake(spark, path)
+    assert sorted(found.columns) == ["ano", "id", "nome"]
+    assert found.count() == 8 and found.filter("nome = 'x' AND ano = 2021").count() == 2
+    assert len(lake._log_of(spark, path)[2]) == 1
+    with pytest.raises(TypeError):
+        lake.log_schema(spark, path, new.withColumn("nome", F.lit(1)).schema)
+    (Path(path) / "part-quebrada.parquet").write_text("x")
+    assert sorted(lake.scan_lake(spark, path).columns) == ["ano", "id", "nome"]  # no file was opened

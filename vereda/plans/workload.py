@@ -543,6 +543,7 @@ def bronze_series(spark, sf_dir):
     }).withColumnsRenamed({"kafka_partition": "partition", "kafka_offset": "offset"})
     old = F.col("data_ref") < F.lit(datetime.date(2024, 1, 11))
     for part in (rows.filter(old).drop("unidade"), rows.filter(~old)):
+        lake.log_schema(spark, folder, part.schema)
         part.write.mode("append").partitionBy(*ingest.SERIES_PARTITIONS).parquet(folder)
     return _columns(lake.bronze_series(lake.scan_lake(spark, folder)))
 
@@ -557,7 +558,9 @@ def bronze_places(spark, sf_dir):
     for part in (geographic_records(spark, sf_dir),
                  demographic_records(spark, sf_dir).withColumn(
                      "porte_municipio", labels.size_bucket(F.col("populacao")))):
-        part.withColumns(stamped).write.mode("append").parquet(folder)
+        rows = part.withColumns(stamped)
+        lake.log_schema(spark, folder, rows.schema)
+        rows.write.mode("append").parquet(folder)
     return _columns(lake.bronze_places(lake.scan_lake(spark, folder)), "kafka_timestamp")
 
 

@@ -6,6 +6,7 @@ from vereda import presets, schemas
 from vereda.functions import labels
 from vereda.functions.conversion import day_first_date
 from vereda.plans.silver import stamp
+from vereda.sources import lake
 
 SERIES_PARTITIONS = ["serie_nome", "ano"]
 PLACE_PARTITIONS = ["uf"]
@@ -73,7 +74,12 @@ def refine_places(records: DataFrame, as_of=None) -> DataFrame:
 
 def append_stream_table(rows: DataFrame, path: str, checkpoint: str, partition_by, fmt="parquet",
                         bounded=False):
-    """Append a stream to a partitioned table; ``bounded`` stops at the end of the input."""
+    """Append a stream to a partitioned table; ``bounded`` stops at the end of the input.
+
+    The logged schema of a Parquet table takes in the stream's before anything is written.
+    """
+    if fmt == "parquet":
+        lake.log_schema(rows.sparkSession, path, rows.schema)
     writer = (
         rows.writeStream.format(fmt).outputMode("append")
         .option("checkpointLocation", checkpoint).partitionBy(*partition_by)
