@@ -32,6 +32,7 @@ from vereda.session import new_folder, park
 LONGEST = 5
 FEWEST = 100
 BEST = 2000
+DEALS = 256
 SHARDS = 3
 SLOT_BITS = 22
 SLAB = 1 << 20  # bytes of text looked at together
@@ -412,7 +413,12 @@ def collocations(docs: DataFrame, lang="lang", text="text", fewest=FEWEST, best=
     lowest = scored.withColumn("score", score).groupBy("key", "lang", "phrase", "a", "n").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("_cut")
     ).select("lang", "phrase", "a", "n", "_cut.score", "_cut.l", "_cut.r")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # A language may hold nearly all phrases: each deal keeps its own best, so that the last
+    # window has at most DEALS times best rows of it.
+    deal = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(DEALS))).orderBy(*order)
+    lowest = lowest.withColumn("_place", F.row_number().over(deal)).filter(F.col("_place") <= best).drop("_place")
+    order = Window.partitionBy("lang").orderBy(*order)
     return lowest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best).select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
