@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import math
 
 import numpy as np
@@ -224,3 +225,63 @@ def test_stored_forest(spark):
     stored = spark.read.parquet(folder)
     assert {r.modelo for r in stored.select("modelo").distinct().collect()} == {"igp-m"}
     assert stored.count() == nodes.count()
+
+
+def many_short(spark, series=40, rows=30):
+    return indicators(spark, {f"P{i}": rows for i in range(series)})
+
+
+def test_short_series_are_not_stored_once_a_tree(spark, monkeypatch):
+    stored = []
+
+    def counting(df, label="table"):
+        frame = park(df, label)
+        stored.append((label, frame.count()))
+        return frame
+
+    monkeypatch.setattr(forest, "park", counting)
+    monkeypatch.setattr(anomalies, "park", counting)
+    scored, nodes = anomalies.score_series(many_short(spark), trees=50)
+    assert scored.count() == 1200 and scored.filter("_score IS NULL").isEmpty()
+    assert {label for label, _ in stored} >= {"points", "samples", "scored"}
+    assert max(rows for _, rows in stored) == 1200, stored
+    assert nodes.select("serie_nome", "arvore").distinct().count() == 40 * 50
+
+
+@pytest.mark.parametrize("block", [50, 100_000])
+def test_scores_by_samples_match_scores_by_nodes(spark, block):
+    """Short, long and nameless series, and names too long for one block of a digest."""
+    points = park(cloud(spark, 20, "short").unionByName(cloud(spark, 31, "short" * 12))
+                  .unionByName(cloud(spark, 32, "even")).unionByName(cloud(spark, 500, "long"))
+                  .unionByName(cloud(spark, 25, "x").withColumn("g", F.lit(None).cast("string")))
+                  .unionByName(cloud(spark, 1, "one")).unionByName(cloud(spark, 2, "two")))
+    samples = forest.forest_samples(points, "g", "k", FEATURES, 10, 32)
+    nodes = park(forest.grow_forest(samples, "g", FEATURES, 32))
+    plain = forest.grow_forest(
+        forest.draw_samples(points, "g", "k", FEATURES, 10, 32), "g", FEATURES, 32)
+    assert nodes.exceptAll(plain).isEmpty() and nodes.count() == plain.count()
+    frames = [
+        forest.score_forest(points, given, "g", FEATURES, "s", block).toPandas()
+        .sort_values(["g", "a", "b"]).reset_index(drop=True)
+        for given in (samples, nodes)
+    ]
+    pd.testing.assert_frame_equal(*frames)
+    frame, grown = frames[0], nodes.toPandas()
+    assert len(frame) == 611 and frame.s[frame.g.isna()].isna().all()
+    for name, rows in frame[frame.g.notna() & (frame.g != "one")].groupby("g"):
+        mine = grown[grown.g == name]
+        np.testing.assert_allclose(rows.s, brute_score(rows, mine, 10), rtol=1e-12)
+
+
+def test_cuts_are_drawn_from_digests():
+    generator = np.random.default_rng(7)
+    for longest in (10, 70):
+        names = [f"42|{'ã' * i}P{i}".encode() for i in range(longest // 2)] + [b"42"]
+        of = generator.integers(0, len(names), 3000)
+        tree, node = generator.integers(1, 101, 3000), generator.integers(1, 256, 3000)
+        drawn = forest._draws(names, of, tree, node)
+        for i in range(0, 3000, 7):
+            text = names[of[i]].decode() + f"|{tree[i]}|{node[i]}"
+            digest = hashlib.md5(text.encode()).hexdigest()
+            assert drawn[0, i] == int(digest[:8], 16) / 2**32
+            assert drawn[1, i] == int(digest[8:16], 16) / 2**32

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from vereda import presets
 from vereda.functions import labels
-from vereda.operators.forest import fit_forest, score_forest
+from vereda.operators.forest import forest_samples, grow_forest, score_forest
 from vereda.operators.grouping import top_per_group
 from vereda.operators.ordered import group_quantile, group_stats
 from vereda.plans.silver import enough_history, stamp
@@ -99,18 +99,18 @@ def grade(scored: DataFrame, score) -> DataFrame:
 
 def score_series(indicators: DataFrame, trees=presets.TREES, max_samples=presets.MAX_SAMPLES,
                  seed=presets.SEED, least=presets.MIN_HISTORY):
-    """Stored points with their isolation score, and the stored forest.
+    """Stored points with their isolation score, and the forest, grown from stored samples.
 
     Cuts are drawn between a feature's smallest and largest value, so scaling a feature does
-    not change the forest and the features go in unscaled.
+    not change the forest and the features go in unscaled. The scores' tasks grow the trees they
+    need themselves; the nodes are only made for those who read the forest.
     """
     features = [f"_{name}" for name in presets.FEATURES]
     history = park(enough_history(indicators), "history")
     points = park(fill_zero(min_history(history, least)), "points")
-    forest = park(
-        fit_forest(points, SERIES, "data_ref", features, trees, max_samples, seed), "forest"
-    )
-    scored = park(score_forest(points, forest, SERIES, features), "scored")
+    samples = forest_samples(points, SERIES, "data_ref", features, trees, max_samples, seed)
+    scored = park(score_forest(points, samples, SERIES, features), "scored")
+    forest = grow_forest(samples, SERIES, features, max_samples, seed)
     return scored.drop(*features), forest
 
 
